@@ -777,7 +777,7 @@ def _(spark, d):
     chosen = [f"factor_{i}" for i in (1, 2, 4, 6, 7)]
     model = regress.fit_linear(fit.select("rating", *cols), chosen)
     out = holdout.select(*ROW_KEY, *cols).withColumn("prediction", model.predict())
-    return out.select(*ROW_KEY, *[C.r6(F.col(c)).alias(c) for c in out.columns[2:]])
+    return out.select(*ROW_KEY, *[C.r6(F.col(c)).alias(c) for c in out.columns[1:]])
 
 
 @query("model_leaderboard")

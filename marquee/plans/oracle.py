@@ -13,7 +13,7 @@ from marquee.sources.ratings import (
 
 ORACLES: dict[str, str] = {}
 
-KEY = "l_orderkey, l_linenumber"
+KEY = "rating_id"
 RAW_NUMERIC = [c for c in NUMERIC if not c.endswith("mean_rating")]
 FEATURES = ("user_mean_rating", "item_mean_rating", "user_genre_mean_rating",
             "item_index_mean_rating", "user_index_mean_rating")
@@ -101,7 +101,7 @@ def rows(name: str, cols: str, source: str = "ratings", *ctes: str) -> None:
 
 
 def md5(seed: int | str) -> str:
-    return f"md5(concat_ws('|', '{seed}', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)))"
+    return f"md5(concat('{seed}', '|', rating_id))"
 
 
 def fold(k: int, seed: int | str) -> str:
@@ -400,24 +400,29 @@ add("top_n_recommend",
 
 
 def least_squares(features: Sequence[str], source: str) -> list[str]:
-    """CTEs that end in ``fit``: intercept and slopes by elimination on the covariances."""
+    """CTEs that end in ``fit``: intercept and slopes by elimination on the covariances.
+
+    ``f<k>`` is 1 / remaining variance of feature k, or 0 where earlier features explain it.
+    """
     p = len(features)
     col = [*features, "rating"]
     filled = " AND ".join(f"{f} IS NOT NULL" for f in features)
     cov = ", ".join(f"covar_pop({col[i]}, {col[j]}) AS c0_{i}_{j}" for i in range(p) for j in range(i, p + 1))
-    ctes = [f"e0 AS (SELECT {', '.join(f'avg({c}) AS m_{i}' for i, c in enumerate(col))}, {cov} FROM {source} WHERE {filled})"]
-    for k in range(p - 1):
-        new = ", ".join(
-            f"c{k}_{i}_{j} - c{k}_{k}_{i} * c{k}_{k}_{j} / c{k}_{k}_{k} AS c{k + 1}_{i}_{j}"
-            for i in range(k + 1, p) for j in range(i, p + 1))
-        ctes.append(f"e{k + 1} AS (SELECT *, {new} FROM e{k})")
-    last = f"e{p - 1}"
+    ctes = [f"e0 AS MATERIALIZED (SELECT {', '.join(f'avg({c}) AS m_{i}' for i, c in enumerate(col))}, {cov} "
+            f"FROM {source} WHERE {filled})"]
+    last = "e0"
+    for k in range(p):
+        ctes.append(f"g{k} AS (SELECT *, CASE WHEN c{k}_{k}_{k} > 1e-9 * c0_{k}_{k} THEN 1 / c{k}_{k}_{k} ELSE 0 END AS f{k} FROM {last})")
+        new = "".join(f", c{k}_{i}_{j} - c{k}_{k}_{i} * c{k}_{k}_{j} * f{k} AS c{k + 1}_{i}_{j}"
+                      for i in range(k + 1, p) for j in range(i, p + 1))
+        ctes.append(f"e{k + 1} AS (SELECT *{new} FROM g{k})")
+        last = f"e{k + 1}"
     for k in reversed(range(p)):
         known = "".join(f" - c{k}_{k}_{j} * b_{j}" for j in range(k + 1, p))
-        ctes.append(f"s{k} AS (SELECT *, (c{k}_{k}_{p}{known}) / c{k}_{k}_{k} AS b_{k} FROM {last})")
+        ctes.append(f"s{k} AS (SELECT *, (c{k}_{k}_{p}{known}) * f{k} AS b_{k} FROM {last})")
         last = f"s{k}"
     slopes = "".join(f" - b_{i} * m_{i}" for i in range(p))
-    return [*ctes, f"fit AS (SELECT {', '.join(f'b_{i}' for i in range(p))}, m_{p}{slopes} AS b FROM {last})"]
+    return [*ctes, f"fit AS MATERIALIZED (SELECT {', '.join(f'b_{i}' for i in range(p))}, m_{p}{slopes} AS b FROM {last})"]
 
 
 def linear(features: Sequence[str]) -> str:

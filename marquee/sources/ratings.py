@@ -17,7 +17,7 @@ GENRES_15 = tuple(
 )
 GENRES_16 = GENRES_15 + ("western",)
 
-ROW_KEY = ("l_orderkey", "l_linenumber")
+ROW_KEY = ("rating_id",)
 NUMERIC = (
     "rating", "age", "item_imdb_length", "item_imdb_rating_of_ten",
     "item_imdb_top_1000_voters_average", "item_mean_rating",
@@ -47,6 +47,11 @@ _GENRE_RULE = {
 # Column name -> SQL expression over lineitem, orders, customer and part. The
 # expressions are valid in Spark SQL and DuckDB alike (see FIXTURES.md).
 RATING_COLUMNS = {
+    # Order and line number repeat in the given tables; with item and price they do not.
+    "rating_id": (
+        "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING), '-', "
+        "CAST(l_partkey AS STRING), '-', CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS STRING))"
+    ),
     "l_orderkey": "l_orderkey",
     "l_linenumber": "l_linenumber",
     "user_id": "CAST(o_custkey AS STRING)",
