@@ -72,9 +72,16 @@ def occupation_class(occupation: Column) -> Column:
     )
 
 
-def genre_string(flags: Sequence[str]) -> Column:
-    """Names of the set flags in column order, blank separated; null if none is set."""
-    return F.nullif(F.concat_ws(" ", *[F.when(F.col(g), g) for g in flags]), F.lit(""))
+def genre_string(flags: Sequence[str], rating_count: Column | None = None) -> Column:
+    """Names of the set flags in column order, blank separated; null if none is set.
+
+    With ``rating_count`` the string also ends in ``genre_count`` for items rated
+    exactly once, as the original long form does by accident.
+    """
+    parts = [F.when(F.col(g), g) for g in flags]
+    if rating_count is not None:
+        parts.append(F.when(rating_count == 1, "genre_count"))
+    return F.nullif(F.concat_ws(" ", *parts), F.lit(""))
 
 
 def primary_genre(flags: Sequence[str]) -> Column:

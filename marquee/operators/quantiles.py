@@ -30,20 +30,21 @@ def exact_quantiles(
         .agg(F.count("*").alias("__n"))
     )
     marks = [i / slices for i in range(1, slices)]
-    cuts = counts.groupBy(*by).agg(F.percentile_approx("__v", marks, 1000).alias("__cuts"))
+    # Reading __n here as well keeps both uses of ``counts`` alike: one shuffle serves both.
+    cuts = counts.groupBy(*by).agg(
+        F.percentile_approx("__v", marks, 1000).alias("__cuts"), F.sum("__n").alias("__total")
+    )
     sliced = counts.join(cuts, by).select(
-        *by, "__v", "__n",
+        *by, "__v", "__n", "__total",
         F.size(F.filter(F.col("__cuts"), lambda c: c < F.col("__v"))).alias("__slice"),
     )
-    group = Window.partitionBy(*by)
-    upto = group.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy(*by).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy(*by, "__slice")
         .agg(F.sum("__n").alias("__sn"))
         .select(
             *by, "__slice",
             F.coalesce(F.sum("__sn").over(upto), F.lit(0)).alias("__before"),
-            F.sum("__sn").over(group).alias("__total"),
         )
     )
     inside = Window.partitionBy(*by, "__slice").orderBy("__v")

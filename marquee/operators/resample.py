@@ -14,36 +14,39 @@ def row_hash(seed: int | str, keys: Sequence[str]) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
 
 
-def split_cut(df: DataFrame, fraction: float, seed: int, keys: Sequence[str]) -> Column:
-    """The row hash at position floor(fraction * rows), as a scalar subquery.
+def split_cut(df: DataFrame, fraction: float, seed: int, keys: Sequence[str]) -> str:
+    """The row hash at position floor(fraction * rows), or "" for an empty part.
 
     Rows are counted per hash prefix, the running count runs over these counts
     (at most 16**PREFIX rows), and only rows of the prefix that holds the cut are
-    ranked one by one.
+    ranked one by one. ``keys`` must identify a row. One value reaches the driver,
+    so every later pass over a split part is a plain filter.
     """
     hashed = df.select(row_hash(seed, keys).alias("h")).withColumn("p", F.substring("h", 1, PREFIX))
     counts = hashed.groupBy("p").agg(F.count("*").alias("n"))
     whole = Window.partitionBy(F.lit(0))
     upto = whole.orderBy("p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = counts.select(
-        "p", "n", F.sum("n").over(upto).alias("end"),
-        F.floor(F.sum("n").over(whole) * F.lit(fraction)).alias("want"),
+    edge = (
+        counts.select(
+            "p", "n", F.sum("n").over(upto).alias("end"),
+            F.floor(F.sum("n").over(whole) * F.lit(fraction)).alias("want"),
+        )
+        .filter("want > end - n AND want <= end")
+        .select("p", (F.col("want") - F.col("end") + F.col("n")).alias("r"))
+        .first()
     )
-    edge = running.filter("want > end - n AND want <= end").select(
-        F.struct("p", (F.col("want") - F.col("end") + F.col("n")).alias("r")).alias("edge")
-    ).scalar()
-    near = hashed.filter(F.col("p") == edge.getField("p"))
-    ranked = near.select("h", F.row_number().over(Window.partitionBy("p").orderBy("h")).alias("r"))
-    return ranked.filter(F.col("r") == edge.getField("r")).agg(F.max("h")).scalar()
+    if edge is None:
+        return ""
+    near = hashed.filter(F.col("p") == edge["p"]).orderBy("h").limit(edge["r"])
+    return near.agg(F.max("h")).first()[0]
 
 
 def split_exact(
     df: DataFrame, fraction: float, seed: int, keys: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
     """Exactly floor(fraction * rows) rows and the rest, without a global sort."""
-    cut = split_cut(df, fraction, seed, keys)
-    h = row_hash(seed, keys)
-    return df.filter(F.coalesce(h <= cut, F.lit(False))), df.filter(~F.coalesce(h <= cut, F.lit(False)))
+    inside = row_hash(seed, keys) <= F.lit(split_cut(df, fraction, seed, keys))
+    return df.filter(inside), df.filter(~inside)
 
 
 def split_fraction(

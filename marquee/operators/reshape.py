@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -65,3 +65,24 @@ def one_hot(df: DataFrame, levels: Mapping[str, Sequence[str]], keep: Sequence[s
 def append_rows(first: DataFrame, second: DataFrame) -> DataFrame:
     """Stack two tables by column name; columns only one side has are null in the other."""
     return first.unionByName(second, allowMissingColumns=True)
+
+
+def number_levels(df: DataFrame, column: str, buckets: int = 4096) -> DataFrame:
+    """Consecutive integers from 0 for the distinct values of a column.
+
+    Values are numbered inside hash buckets and shifted by the sizes of the
+    buckets before, so no task sees more than one bucket of values.
+    """
+    levels = df.select(column).distinct().withColumn(
+        "__b", F.pmod(F.xxhash64(column), F.lit(buckets))
+    )
+    upto = Window.partitionBy(F.lit(0)).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = levels.groupBy("__b").count().select(
+        "__b", F.coalesce(F.sum("count").over(upto), F.lit(0)).alias("__o")
+    )
+    inside = Window.partitionBy("__b").orderBy(column)
+    return (
+        levels.withColumn("__r", F.row_number().over(inside) - 1)
+        .join(offsets, "__b")
+        .select(column, (F.col("__r") + F.col("__o")).cast("int").alias(f"{column}_index"))
+    )

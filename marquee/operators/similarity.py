@@ -27,6 +27,7 @@ from marquee.session import materialise
 BLOCK = 2048          # compared rows per block: a block product is at most 32 MB
 CHUNK_CELLS = 2_000_000  # cells a single task reads for one block pair
 STEP = 4_000_000      # products formed at once inside a task
+ALL_PARTNERS = 8      # up to this many blocks a list simply goes to every block pair
 
 
 def normalise(cells: DataFrame, method: str = "z-score") -> DataFrame:
@@ -188,9 +189,17 @@ def nearest_neighbours(
         .groupBy(F.col(other).alias("other"), "block")
         .agg(F.collect_list(F.struct("slot", (F.col("__w") / F.col("norm")).alias("w"))).alias("v"))
     )
-    paired = packed.withColumn(
-        "partner", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    ).select(
+    if blocks <= ALL_PARTNERS:
+        partners = F.sequence(F.lit(0), F.lit(blocks - 1))
+    else:
+        # Only blocks that share a row of ``other`` can have a product. The list
+        # of them is one number per block, whatever the row holds.
+        met = (
+            cells.join(members.select(entity, "block"), entity)
+            .groupBy(F.col(other).alias("other")).agg(F.collect_set("block").alias("met"))
+        )
+        packed, partners = packed.join(met, "other"), F.col("met")
+    paired = packed.withColumn("partner", F.explode(partners)).select(
         F.least("block", "partner").alias("b1"), F.greatest("block", "partner").alias("b2"),
         (F.col("block") > F.col("partner")).cast("int").alias("side"), "other", "v",
     )

@@ -5,15 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce, wraps
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions import columns as C
 from marquee.operators import encode, factor, joins, missing, profile, regress, resample, reshape, similarity, summaries
 from marquee.plans.features import (
-    FEATURES, feature_table, folded, model_parts, stored_ratings, with_item_mean, with_time_and_bands,
+    FEATURE_INPUT, FEATURES, FEATURES_2, FEATURES_4, feature_table, folded, model_parts, stored_ratings,
+    two_attribute_means, with_item_mean, with_time_and_bands,
 )
-from marquee.plans.submission import submission, to_submission
+from marquee.plans.submission import submission
 from marquee.session import configure, materialise, new_path
 from marquee.sources.files import read_csv, write_csv
 from marquee.sources.ratings import (
@@ -48,9 +51,16 @@ def train(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train_rows(load_ratings(spark, sf_dir))
 
 
-def full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ratings with bands, hour and all derived item means."""
-    return encode.add_item_means(stored_ratings(spark, sf_dir))
+def full(spark: SparkSession, sf_dir: str, columns=()) -> DataFrame:
+    """Stored ratings with the numeric columns, ``columns`` and all derived item means."""
+    needed = dict.fromkeys([*ROW_KEY, "item_id", "is_test", "age_band", "gender", *RAW_NUMERIC, *columns])
+    return encode.add_item_means(stored_ratings(spark, sf_dir, list(needed)))
+
+
+def narrow(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
+    """Stored ratings with just the row key, the label and ``keys``."""
+    needed = dict.fromkeys([*ROW_KEY, "item_id", "rating", "is_test", *keys])
+    return stored_ratings(spark, sf_dir, [c for c in needed if not c.endswith("mean_rating")])
 
 
 def keyed(df: DataFrame, *cols) -> DataFrame:
@@ -93,7 +103,7 @@ def _(spark, d):
 
 @query("null_profile")
 def _(spark, d):
-    return profile.null_profile(full(spark, d), NUMERIC + CATEGORICAL + ("release_date",))
+    return profile.null_profile(full(spark, d, CATEGORICAL + ("release_date",)), NUMERIC + CATEGORICAL + ("release_date",))
 
 
 # --- projection, predicates, scalar expressions --------------------------------
@@ -168,7 +178,7 @@ def _(spark, d):
 
 @query("coalesce_feature")
 def _(spark, d):
-    rows = with_item_mean(stored_ratings(spark, d))
+    rows = with_item_mean(narrow(spark, d, *encode.USER_GENRE["19"]))
     enc = {"user_genre_mean_rating": encode.USER_GENRE["19"]}
     return keyed(
         encode.add_encodings(test_rows(rows), train_rows(rows), enc),
@@ -284,14 +294,14 @@ def _(spark, d):
 
 @query("join_user_mean")
 def _(spark, d):
-    ratings = stored_ratings(spark, d)
+    ratings = narrow(spark, d, "user_id")
     return keyed(encode.add_encodings(ratings, train_rows(ratings), {"user_mean_rating": ("user_id",)}),
                  "user_mean_rating")
 
 
 @query("join_item_index")
 def _(spark, d):
-    rows = with_item_mean(stored_ratings(spark, d))
+    rows = with_item_mean(narrow(spark, d, *encode.ITEM_INDEX["v4"]))
     enc = {"item_index_mean_rating": encode.ITEM_INDEX["v4"]}
     return keyed(encode.add_encodings(rows, train_rows(rows), enc), "item_index_mean_rating")
 
@@ -305,10 +315,17 @@ def _(spark, d):
 
 @query("movie_stats_sql")
 def _(spark, d):
+    # The outer join as inner join plus the unmatched rows: an inner join can be
+    # split on either side when one item holds much of the ratings. The last sort
+    # columns let the range sort cut through a hot item.
     return spark.sql(
-        """SELECT a.item_id, a.movie_title, a.genre, b.rating
-           FROM {movie_genre} a LEFT JOIN {ratings} b ON a.item_id = b.item_id
-           ORDER BY a.item_id""",
+        """SELECT item_id, movie_title, genre, rating FROM (
+             SELECT a.item_id, a.movie_title, a.genre, b.rating, b.rating_id
+             FROM {movie_genre} a JOIN {ratings} b ON a.item_id = b.item_id
+             UNION ALL
+             SELECT a.*, NULL, NULL FROM {movie_genre} a
+             LEFT ANTI JOIN (SELECT DISTINCT item_id FROM {ratings}) b ON a.item_id = b.item_id)
+           ORDER BY item_id, genre, rating_id""",
         movie_genre=movie_genres(spark, d), ratings=train(spark, d),
     )
 
@@ -444,7 +461,7 @@ def _(spark, d):
 
 @query("rmse_baselines")
 def _(spark, d):
-    ratings = stored_ratings(spark, d)
+    ratings = narrow(spark, d, "user_id", "age_band")
     labelled = train_rows(ratings)
     scored = encode.add_encodings(test_rows(ratings), labelled, BASELINE_KEYS).withColumn(
         "global_mean", labelled.agg(C.r6(F.avg("rating"))).scalar())
@@ -546,7 +563,7 @@ def _(spark, d):
 
 @query("enc_oof")
 def _(spark, d):
-    rows = stored_ratings(spark, d)
+    rows = narrow(spark, d, "user_id", *encode.USER_INDEX["v5"])
     folds = train_rows(rows).withColumn("fold", resample.hash_fold(5, 42, ROW_KEY))
     for name, keys in (("user_mean_rating", ["user_id"]), ("user_index_mean_rating", encode.USER_INDEX["v5"])):
         folds = encode.out_of_fold_encode(folds, keys, name)
@@ -615,7 +632,7 @@ def _(spark, d):
 
 @query("feature_table")
 def _(spark, d):
-    return feature_table(stored_ratings(spark, d))
+    return feature_table(stored_ratings(spark, d, FEATURE_INPUT))
 
 
 @query("submission")
@@ -631,13 +648,8 @@ def _scored(df, *extra):
 
 @query("ols_two_feature")
 def _(spark, d):
-    rows = with_time_and_bands(load_ratings(spark, d))
-    specs = {"user_rating": encode.USER_INDEX["v1"], "item_rating": encode.ITEM_INDEX["v6"]}
-    labelled = train_rows(rows)
-    table = materialise(
-        encode.add_encodings(labelled, labelled, specs).select(*ROW_KEY, "rating", *specs), "two_features")
-    fit, holdout = resample.split_exact(table, 0.75, 1058, ROW_KEY)
-    model = regress.fit_linear(fit, list(specs))
+    fit, holdout = resample.split_exact(two_attribute_means(spark, d), 0.75, 1058, ROW_KEY)
+    model = regress.fit_linear(fit, ["user_rating", "item_rating"])
     return _scored(holdout.withColumn("prediction", model.predict()))
 
 
@@ -650,8 +662,8 @@ def _(spark, d):
 
 @query("ols_ladder")
 def _(spark, d):
-    needed = sorted({"rating", "gender", "age", "occupation", *NUMERIC, *CATEGORICAL})
-    table = materialise(train_rows(full(spark, d)).select(*ROW_KEY, *needed), "ladder")
+    needed = [*NUMERIC, *CATEGORICAL]
+    table = materialise(train_rows(full(spark, d, CATEGORICAL)).select(*ROW_KEY, *needed), "ladder")
     fit, holdout = resample.split_exact(table, 0.75, 1058, ROW_KEY)
     steps = []
     for step, formula in regress.LADDER.items():
@@ -660,12 +672,12 @@ def _(spark, d):
     return reduce(DataFrame.unionByName, steps)
 
 
-def _tree_parts(spark, d):
+def _tree_parts(spark, d, features=FEATURES):
     fit, holdout, _new = model_parts(spark, d)
-    means = missing.fit_means(fit, FEATURES)
+    means = missing.fit_means(fit, features)
     keep = [*ROW_KEY, "rating"]
-    return (regress.tree_frame(fit, FEATURES, means, keep),
-            regress.tree_frame(holdout, FEATURES, means, keep))
+    return (regress.tree_frame(fit, features, means, keep),
+            regress.tree_frame(holdout, features, means, keep))
 
 
 @query("rf_predict")
@@ -680,18 +692,24 @@ def _(spark, d):
     return _scored(regress.fit_trees(regress.boosting(rounds=20, rate=0.1), fit).transform(holdout))
 
 
+@query("gbt_predict_4")
+def _(spark, d):
+    fit, holdout = _tree_parts(spark, d, FEATURES_4)
+    return _scored(regress.fit_trees(regress.boosting(rounds=10, rate=0.1), fit).transform(holdout))
+
+
 @query("gbt_cv")
 def _(spark, d):
-    fit, holdout = _tree_parts(spark, d)
-    search = regress.cross_validate(
-        regress.boosting(rounds=5, rate=0.1), {"maxDepth": [2, 4], "subsamplingRate": [0.40, 0.55]},
-        folded(fit, 3), k=3)
-    return _scored(search.transform(holdout))
+    fit, holdout = _tree_parts(spark, d, FEATURES_2)
+    frame = materialise(resample.repeated_folds(fit, 2, 2, 42, ROW_KEY), "folds")
+    model, _errors = regress.repeated_cross_validate(
+        regress.boosting(rounds=5, rate=0.1, bag=0.40), {"maxDepth": [2, 4]}, frame, 2, ["fold_1", "fold_2"])
+    return _scored(model.transform(holdout))
 
 
 @query("gbt_early_stop")
 def _(spark, d):
-    fit, holdout = _tree_parts(spark, d)
+    fit, holdout = _tree_parts(spark, d, FEATURES_4)
     model, _rounds, _curve = regress.boost_with_early_stop(
         regress.boosting(rounds=12, depth=4, rate=0.1, bag=0.5), folded(fit, 3, 11234), k=3, patience=3)
     return _scored(model.transform(holdout))
@@ -699,14 +717,12 @@ def _(spark, d):
 
 @query("linear_cv")
 def _(spark, d):
-    fit, holdout, _new = model_parts(spark, d)
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
-    names = ["item_mean_rating", "user_mean_rating", "user_genre_mean_rating"]
-    rows = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="skip")
+    table = missing.drop_incomplete(
+        two_attribute_means(spark, d), ["item_mean_rating", "user_rating", "item_rating"])
+    fit, holdout = resample.split_exact(table, 0.75, 1058, ROW_KEY)
+    rows = VectorAssembler(inputCols=["item_mean_rating", "user_rating", "item_rating"], outputCol="features")
     search = regress.cross_validate(
-        LinearRegression(labelCol="rating"), {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0, 1.0]},
+        LinearRegression(labelCol="rating", elasticNetParam=0.0), {"regParam": [0.0, 0.01, 0.1]},
         folded(rows.transform(fit), 10), k=10)
     return _scored(search.transform(rows.transform(holdout)))
 
@@ -725,10 +741,8 @@ def _(spark, d):
 
 def _als_parts(spark, d):
     ratings = load_ratings(spark, d).select("is_test", *ROW_KEY, "user_id", "item_id", "rating")
-    frame = materialise(factor.als_frame(train_rows(ratings)), "als")
-    new = test_rows(ratings).select(
-        *ROW_KEY, "rating", F.col("user_id").cast("int").alias("user"), F.col("item_id").cast("int").alias("item"))
-    return frame, new
+    frame, users, items = factor.als_frame(train_rows(ratings))
+    return frame, factor.with_index(test_rows(ratings), users, items)
 
 
 def _als_scored(model, new):
@@ -736,54 +750,63 @@ def _als_scored(model, new):
     return _scored(model.transform(new).withColumn("prediction", C.clamp_rating(pred, None)), "rating")
 
 
+def _als(spark, **settings):
+    return factor.als(blocks=max(10, spark.sparkContext.defaultParallelism), **settings)
+
+
 @query("als_predict")
 def _(spark, d):
     frame, new = _als_parts(spark, d)
-    return _als_scored(factor.fit_als(factor.als(rank=65, rounds=5), frame), new)
+    return _als_scored(factor.fit_als(_als(spark, rank=65, rounds=5), frame), new)
 
 
 @query("als_tuned")
 def _(spark, d):
     frame, new = _als_parts(spark, d)
-    search = factor.tune_als(factor.als(rounds=3), frame, 3, {"rank": [5, 10], "regParam": [0.01, 0.1]})
+    search = factor.tune_als(_als(spark, rounds=3), frame, 3, {"rank": [5, 10], "regParam": [0.01, 0.1]})
     return _als_scored(search.bestModel, new)
 
 
 @query("als_rank2_rmse")
 def _(spark, d):
     frame, _new = _als_parts(spark, d)
-    model = factor.fit_als(factor.als(rank=2, reg=0.01, rounds=10), frame)
+    model = factor.fit_als(_als(spark, rank=2, reg=0.01, rounds=10), frame)
     return summaries.rmse(model.transform(frame))
 
 
-@query("factor_scores")
-def _(spark, d):
-    ratings = stored_ratings(spark, d)
-    table = encode.add_item_means(ratings)
+def _factor_parts(spark, d):
+    """Training part and hold-out with seven factor scores per row."""
     numeric = [c for c in NUMERIC if c != "rating"]
-    labelled = train_rows(table)
+    labelled = materialise(train_rows(full(spark, d, [*CATEGORICAL, *GENRES])), "labelled")
     levels = reshape.fit_levels(labelled, CATEGORICAL)
     means = missing.fit_means(labelled, numeric)
-    wide = materialise(
-        missing.fill_means(
-            reshape.one_hot(
-                train_rows(table), levels, [*ROW_KEY, "rating", *numeric, *C.flags_as_int(GENRES)]),
-            means,
-        ).fillna(0), "wide")
-    names = [c for c in wide.columns if c not in (*ROW_KEY, "rating")]
+    hot = reshape.one_hot(labelled, levels, [*ROW_KEY, "rating", *numeric, *C.flags_as_int(GENRES)])
+    wide = materialise(missing.fill_means(hot, means).fillna(0), "wide")
     fit, holdout = resample.split_exact(wide, 0.75, 1058, ROW_KEY)
-    scorer = factor.fit_factors(fit, names, 7)
-    cols = scorer.scores()
-    chosen = [f"factor_{i}" for i in (1, 2, 4, 6, 7)]
-    model = regress.fit_linear(fit.select("rating", *cols), chosen)
-    out = holdout.select(*ROW_KEY, *cols).withColumn("prediction", model.predict())
-    return out.select(*ROW_KEY, *[C.r6(F.col(c)).alias(c) for c in out.columns[1:]])
+    names = [c for c in wide.columns if c not in (*ROW_KEY, "rating")]
+    scores = factor.fit_factors(fit, names, 7).scores()
+    return fit.select(*ROW_KEY, "rating", *scores), holdout.select(*ROW_KEY, "rating", *scores)
+
+
+@query("factor_scores")
+def _(spark, d):
+    fit, holdout = _factor_parts(spark, d)
+    model = regress.fit_linear(fit, [f"factor_{i}" for i in (1, 2, 4, 6, 7)])
+    return _scored(holdout.withColumn("prediction", model.predict()),
+                   *[C.r6(F.col(f"factor_{i}")).alias(f"factor_{i}") for i in range(1, 8)])
+
+
+@query("rf_factor_predict")
+def _(spark, d):
+    fit, holdout = _factor_parts(spark, d)
+    rows = VectorAssembler(inputCols=[f"factor_{i}" for i in range(1, 8)], outputCol="features")
+    model = regress.fit_trees(regress.random_forest(trees=20), rows.transform(fit))
+    return _scored(model.transform(rows.transform(holdout)))
 
 
 @query("model_leaderboard")
 def _(spark, d):
     fit, holdout, _new = model_parts(spark, d)
-    fit, holdout = materialise(fit, "fit"), materialise(holdout, "holdout")
     means = missing.fit_means(fit, FEATURES)
     keep = [*ROW_KEY, "rating"]
     tree_fit, tree_out = (regress.tree_frame(x, FEATURES, means, keep) for x in (fit, holdout))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,8 @@ FEATURES = (
     "user_mean_rating", "item_mean_rating", "user_genre_mean_rating",
     "item_index_mean_rating", "user_index_mean_rating",
 )
+FEATURES_4 = tuple(f for f in FEATURES if f != "item_mean_rating")
+FEATURES_2 = ("item_index_mean_rating", "user_index_mean_rating")
 FEATURE_COLUMNS = ROW_KEY + (
     "user_id", "item_id", "rating", "is_test", "hour", "release_month", "item_length_band",
 ) + FEATURES
@@ -43,9 +47,20 @@ def with_item_mean(ratings: DataFrame) -> DataFrame:
     return null_safe_left_join(ratings, mean_encode(train_rows(ratings), keys, name), keys)
 
 
-def stored_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The joined ratings, written once: each encoding then scans its own few columns."""
-    return materialise(with_time_and_bands(load_ratings(spark, sf_dir)), "ratings")
+# What the feature table reads; nothing else is written to the stored ratings.
+FEATURE_INPUT = tuple(dict.fromkeys(
+    ROW_KEY + ("user_id", "item_id", "rating", "is_test", "release_month", "item_length_band")
+    + tuple(k for keys in ENCODINGS.values() for k in keys if not k.endswith("mean_rating"))
+))
+
+
+def stored_ratings(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
+    """Chosen columns of the joined ratings, written once.
+
+    Every encoding and every fit then scans its own few columns of this table
+    and does not repeat the joins behind it.
+    """
+    return materialise(with_time_and_bands(load_ratings(spark, sf_dir)).select(*columns), "ratings")
 
 
 def feature_table(ratings: DataFrame, fit_on: str = "all", folds: int = 5) -> DataFrame:
@@ -74,7 +89,7 @@ def feature_table(ratings: DataFrame, fit_on: str = "all", folds: int = 5) -> Da
 
 def model_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Stored feature table as (80 % training part, 20 % hold-out, rows to score)."""
-    table = materialise(feature_table(stored_ratings(spark, sf_dir)), "features")
+    table = materialise(feature_table(stored_ratings(spark, sf_dir, FEATURE_INPUT)), "features")
     train, holdout = split_exact(train_rows(table), 0.8, 42, ROW_KEY)
     return train, holdout, test_rows(table)
 
@@ -82,3 +97,14 @@ def model_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
 def folded(df: DataFrame, k: int, seed: int = 42) -> DataFrame:
     """Folds balanced on the rating, stored because every fit reads them again."""
     return materialise(balanced_folds(df, k, seed, ROW_KEY, "rating"), "folds")
+
+
+def two_attribute_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled rows with one mean by user attributes and one by item attributes."""
+    specs = {"user_rating": USER_INDEX["v1"], "item_rating": ITEM_INDEX["v6"]}
+    needed = dict.fromkeys([*ROW_KEY, "item_id", "rating", "is_test", *specs["user_rating"], *specs["item_rating"]])
+    rows = with_item_mean(stored_ratings(spark, sf_dir, list(needed)))
+    labelled = train_rows(rows)
+    return materialise(
+        add_encodings(labelled, labelled, specs).select(*ROW_KEY, "rating", "item_mean_rating", *specs),
+        "attribute_means")
