@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.columns import r6
 from marquee.operators.joins import null_safe_left_join
+from marquee.session import materialise
 from marquee.sources.ratings import GENRES, GENRES_15, GENRES_16, ITEM_MEANS, train_rows
 
 # Encoding variants: name -> grouping keys.
@@ -47,9 +49,20 @@ def mean_encode(df: DataFrame, keys: Sequence[str], name: str, target: str = "ra
 def add_encodings(
     df: DataFrame, fit_on: DataFrame, specs: Mapping[str, Sequence[str]], target: str = "rating"
 ) -> DataFrame:
-    """Left-join one encoding per entry of ``specs`` (name -> keys)."""
-    for name, keys in specs.items():
-        df = null_safe_left_join(df, mean_encode(fit_on, keys, name, target), keys)
+    """Left-join one encoding per entry of ``specs`` (name -> keys).
+
+    Each encoding is stored first, so the planner knows its real size: a small one
+    is broadcast and ``df`` is not shuffled for it, a large one is merge-joined.
+    The encodings do not depend on each other and are computed at the same time.
+    """
+    def store(item):
+        name, keys = item
+        return materialise(mean_encode(fit_on, keys, name, target), name)
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        tables = list(pool.map(store, specs.items()))
+    for keys, table in zip(specs.values(), tables):
+        df = null_safe_left_join(df, table, keys)
     return df
 
 
@@ -70,7 +83,7 @@ def out_of_fold_encode(
     whole = Window.partitionBy(*keys)
     others_n = F.sum("__n").over(whole) - F.col("__n")
     others_s = F.sum("__s").over(whole) - F.col("__s")
-    enc = part.select(
+    enc = materialise(part.select(
         *keys, fold, r6(F.when(others_n > 0, others_s / others_n)).alias(name)
-    )
+    ), name)
     return null_safe_left_join(df, enc, [*keys, fold])

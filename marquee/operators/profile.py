@@ -109,22 +109,26 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Correlation of every column pair, computed in one pass.
 
     ``corr`` uses the rows where both are filled; ``corr_everything`` is null as
-    soon as one value of the pair is missing anywhere.
+    soon as one value of the pair is missing anywhere. Pairs are stacked inside the
+    map tasks and reduced there, so one row per pair and task is shuffled.
     """
-    pairs = [(a, b) for a in columns for b in columns if a < b]
-    aggs = []
-    for a, b in pairs:
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        aggs.append(
-            F.struct(
-                F.lit(a).alias("var_x"), F.lit(b).alias("var_y"),
-                F.count_if(both).alias("n"), F.count("*").alias("rows"),
-                F.corr(F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))).alias("c"),
-            )
+    pairs = [
+        F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"),
+                 F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+        for a in columns for b in columns if a < b
+    ]
+    both = F.col("x").isNotNull() & F.col("y").isNotNull()
+    return (
+        df.select(F.inline(F.array(*pairs)))
+        .groupBy("var_x", "var_y")
+        .agg(
+            F.count_if(both).alias("n"), F.count("*").alias("rows"),
+            F.corr(F.when(both, F.col("x")), F.when(both, F.col("y"))).alias("c"),
+        )
+        .select(
+            "var_x", "var_y", "n", r6(F.col("c")).alias("corr"),
+            r6(F.when(F.col("n") == F.col("rows"), F.col("c"))).alias("corr_everything"),
         )
-    return df.agg(F.array(*aggs).alias("p")).select(F.inline("p")).select(
-        "var_x", "var_y", "n", r6(F.col("c")).alias("corr"),
-        r6(F.when(F.col("n") == F.col("rows"), F.col("c"))).alias("corr_everything"),
     )
 
 

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PREFIX = 5  # hex digits: 16**5 buckets, a fixed bound for the one-task running count
+PREFIX = 4      # hex digits per step: 16**4 counts bound the one-task running count
+RANKED = 10_000  # rows that may be ranked one by one
 
 
 def row_hash(seed: int | str, keys: Sequence[str]) -> Column:
@@ -17,28 +18,29 @@ def row_hash(seed: int | str, keys: Sequence[str]) -> Column:
 def split_cut(df: DataFrame, fraction: float, seed: int, keys: Sequence[str]) -> str:
     """The row hash at position floor(fraction * rows), or "" for an empty part.
 
-    Rows are counted per hash prefix, the running count runs over these counts
-    (at most 16**PREFIX rows), and only rows of the prefix that holds the cut are
-    ranked one by one. ``keys`` must identify a row. One value reaches the driver,
-    so every later pass over a split part is a plain filter.
+    Rows are counted per hash prefix and the prefix that holds the cut is counted
+    again by its next digits, until few rows are left to rank. Every pass reads
+    the keys only, and its running count sees at most 16**PREFIX counts. ``keys``
+    must identify a row. One value reaches the driver, so every later pass over a
+    split part is a plain filter.
     """
-    hashed = df.select(row_hash(seed, keys).alias("h")).withColumn("p", F.substring("h", 1, PREFIX))
-    counts = hashed.groupBy("p").agg(F.count("*").alias("n"))
-    whole = Window.partitionBy(F.lit(0))
-    upto = whole.orderBy("p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edge = (
-        counts.select(
-            "p", "n", F.sum("n").over(upto).alias("end"),
-            F.floor(F.sum("n").over(whole) * F.lit(fraction)).alias("want"),
+    near = df.select(row_hash(seed, keys).alias("h"))
+    want, depth = None, 0
+    while True:
+        counts = near.groupBy(F.substring("h", depth + 1, PREFIX).alias("p")).agg(F.count("*").alias("n"))
+        whole = Window.partitionBy(F.lit(0))
+        upto = whole.orderBy("p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        goal = F.floor(F.sum("n").over(whole) * F.lit(fraction)) if want is None else F.lit(want)
+        edge = (
+            counts.select("p", "n", F.sum("n").over(upto).alias("end"), goal.alias("want"))
+            .filter("want > end - n AND want <= end").first()
         )
-        .filter("want > end - n AND want <= end")
-        .select("p", (F.col("want") - F.col("end") + F.col("n")).alias("r"))
-        .first()
-    )
-    if edge is None:
-        return ""
-    near = hashed.filter(F.col("p") == edge["p"]).orderBy("h").limit(edge["r"])
-    return near.agg(F.max("h")).first()[0]
+        if edge is None:
+            return ""
+        near = near.filter(F.substring("h", depth + 1, PREFIX) == edge["p"])
+        want, depth = edge["want"] - edge["end"] + edge["n"], depth + PREFIX
+        if edge["n"] <= RANKED or depth > 32 - PREFIX:
+            return near.orderBy("h").limit(want).agg(F.max("h")).first()[0]
 
 
 def split_exact(

@@ -27,7 +27,7 @@ from marquee.session import materialise
 BLOCK = 2048          # compared rows per block: a block product is at most 32 MB
 CHUNK_CELLS = 2_000_000  # cells a single task reads for one block pair
 STEP = 4_000_000      # products formed at once inside a task
-ALL_PARTNERS = 8      # up to this many blocks a list simply goes to every block pair
+ALL_PARTNERS = 32     # up to this many blocks a list simply goes to every block pair
 
 
 def normalise(cells: DataFrame, method: str = "z-score") -> DataFrame:

@@ -277,12 +277,12 @@ def _(spark, d):
 
 @query("split_exact")
 def _(spark, d):
-    return keyed(resample.split_exact(train(spark, d), 0.8, 42, ROW_KEY)[0])
+    return keyed(resample.split_exact(train_rows(narrow(spark, d)), 0.8, 42, ROW_KEY)[0])
 
 
 @query("split_complement")
 def _(spark, d):
-    return keyed(resample.split_exact(train(spark, d), 0.8, 42, ROW_KEY)[1])
+    return keyed(resample.split_exact(train_rows(narrow(spark, d)), 0.8, 42, ROW_KEY)[1])
 
 
 @query("split_fraction")
@@ -341,9 +341,10 @@ def _(spark, d):
 
 @query("join_fanout")
 def _(spark, d):
-    rows = with_time_and_bands(load_ratings(spark, d))
-    enc = encode.mean_encode(train_rows(rows), encode.ITEM_INDEX["v6"], "item_rating").withColumnRenamed(
-        "item_imdb_mature_rating", "mature_rating_y")
+    rows = narrow(spark, d, *encode.ITEM_INDEX["v6"])
+    enc = materialise(
+        encode.mean_encode(train_rows(rows), encode.ITEM_INDEX["v6"], "item_rating"), "index"
+    ).withColumnRenamed("item_imdb_mature_rating", "mature_rating_y")
     keys = [k for k in encode.ITEM_INDEX["v6"] if k != "item_imdb_mature_rating"]
     return keyed(joins.null_safe_left_join(test_rows(rows), enc, keys),
                  "item_imdb_mature_rating", "mature_rating_y", "item_rating")

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions import columns as C
-from marquee.operators.encode import ITEM_INDEX, USER_GENRE, USER_INDEX, add_encodings, mean_encode, out_of_fold_encode
-from marquee.operators.joins import null_safe_left_join
+from marquee.operators.encode import ITEM_INDEX, USER_GENRE, USER_INDEX, add_encodings, out_of_fold_encode
 from marquee.operators.resample import balanced_folds, hash_fold, split_exact
 from marquee.session import materialise
 from marquee.sources.ratings import ITEM_MEANS, ROW_KEY, load_ratings, test_rows, train_rows
@@ -43,8 +42,8 @@ def with_time_and_bands(ratings: DataFrame) -> DataFrame:
 
 def with_item_mean(ratings: DataFrame) -> DataFrame:
     """Add only ``item_mean_rating``, the one item mean the encodings need."""
-    name, keys = "item_mean_rating", ITEM_MEANS["item_mean_rating"]
-    return null_safe_left_join(ratings, mean_encode(train_rows(ratings), keys, name), keys)
+    name = "item_mean_rating"
+    return add_encodings(ratings, train_rows(ratings), {name: ITEM_MEANS[name]})
 
 
 # What the feature table reads; nothing else is written to the stored ratings.

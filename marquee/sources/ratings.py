@@ -102,18 +102,32 @@ ITEM_MEANS = {
 }
 
 
+_USER = ("user_id", "age", "age_band", "gender", "occupation", "zip_code")
+_EVENT = ("rating_id", "l_orderkey", "l_linenumber", "rating", "timestamp", "is_test")
+_ITEM = tuple(c for c in RATING_COLUMNS if c not in _USER + _EVENT)
+
+
 def load_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ratings with user and item attributes, test rows flagged by ``is_test``."""
+    """Ratings with user and item attributes, test rows flagged by ``is_test``.
+
+    User and item columns are derived on the small tables, before the joins.
+    """
     def table(name):
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    joined = (
+    def derived(names):
+        return [F.expr(RATING_COLUMNS[c]).alias(c) for c in names]
+
+    users = table("customer").withColumnRenamed("c_custkey", "o_custkey").select(
+        F.col("o_custkey").alias("__user"), *derived(_USER))
+    items = table("part").withColumnRenamed("p_partkey", "l_partkey").select(
+        F.col("l_partkey").alias("__item"), *derived(_ITEM))
+    events = (
         table("lineitem")
         .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
+        .select(F.col("o_custkey").alias("__user"), F.col("l_partkey").alias("__item"), *derived(_EVENT))
     )
-    return joined.select(*[F.expr(e).alias(c) for c, e in RATING_COLUMNS.items()])
+    return events.join(users, "__user").join(items, "__item").select(*RATING_COLUMNS)
 
 
 def train_rows(ratings: DataFrame) -> DataFrame:
