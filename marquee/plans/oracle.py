@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from marquee.functions.columns import DAY_PARTS, LENGTH_ABOVE, LENGTH_BANDS, QUALITY_BANDS
 from marquee.operators.encode import ITEM_INDEX, USER_GENRE, USER_INDEX
+from marquee.operators.regress import LADDER
 from marquee.operators.reshape import level_name
 from marquee.sources.ratings import (
     CATEGORICAL, GENRES, ITEM_MEANS, MOVIE_COLUMNS, NUMERIC, RATING_COLUMNS, USER_COLUMNS,
@@ -399,8 +400,8 @@ add("top_n_recommend",
 # --- least squares ------------------------------------------------------------------------
 
 
-def least_squares(features: Sequence[str], source: str) -> list[str]:
-    """CTEs that end in ``fit``: intercept and slopes by elimination on the covariances.
+def least_squares(features: Sequence[str], source: str, out: str = "fit") -> list[str]:
+    """CTEs that end in ``out``: intercept and slopes by elimination on the covariances.
 
     ``f<k>`` is 1 / remaining variance of feature k, or 0 where earlier features explain it.
     """
@@ -408,21 +409,22 @@ def least_squares(features: Sequence[str], source: str) -> list[str]:
     col = [*features, "rating"]
     filled = " AND ".join(f"{f} IS NOT NULL" for f in features)
     cov = ", ".join(f"covar_pop({col[i]}, {col[j]}) AS c0_{i}_{j}" for i in range(p) for j in range(i, p + 1))
-    ctes = [f"e0 AS MATERIALIZED (SELECT {', '.join(f'avg({c}) AS m_{i}' for i, c in enumerate(col))}, {cov} "
+    ctes = [f"{out}_e0 AS MATERIALIZED (SELECT {', '.join(f'avg({c}) AS m_{i}' for i, c in enumerate(col))}, {cov} "
             f"FROM {source} WHERE {filled})"]
-    last = "e0"
+    last = f"{out}_e0"
     for k in range(p):
-        ctes.append(f"g{k} AS (SELECT *, CASE WHEN c{k}_{k}_{k} > 1e-9 * c0_{k}_{k} THEN 1 / c{k}_{k}_{k} ELSE 0 END AS f{k} FROM {last})")
+        ctes.append(f"{out}_g{k} AS MATERIALIZED (SELECT *, CASE WHEN c{k}_{k}_{k} > 1e-9 * c0_{k}_{k} "
+                    f"THEN 1 / c{k}_{k}_{k} ELSE 0 END AS f{k} FROM {last})")
         new = "".join(f", c{k}_{i}_{j} - c{k}_{k}_{i} * c{k}_{k}_{j} * f{k} AS c{k + 1}_{i}_{j}"
                       for i in range(k + 1, p) for j in range(i, p + 1))
-        ctes.append(f"e{k + 1} AS (SELECT *{new} FROM g{k})")
-        last = f"e{k + 1}"
+        ctes.append(f"{out}_e{k + 1} AS MATERIALIZED (SELECT *{new} FROM {out}_g{k})")
+        last = f"{out}_e{k + 1}"
     for k in reversed(range(p)):
         known = "".join(f" - c{k}_{k}_{j} * b_{j}" for j in range(k + 1, p))
-        ctes.append(f"s{k} AS (SELECT *, (c{k}_{k}_{p}{known}) * f{k} AS b_{k} FROM {last})")
-        last = f"s{k}"
+        ctes.append(f"{out}_s{k} AS MATERIALIZED (SELECT *, (c{k}_{k}_{p}{known}) * f{k} AS b_{k} FROM {last})")
+        last = f"{out}_s{k}"
     slopes = "".join(f" - b_{i} * m_{i}" for i in range(p))
-    return [*ctes, f"fit AS MATERIALIZED (SELECT {', '.join(f'b_{i}' for i in range(p))}, m_{p}{slopes} AS b FROM {last})"]
+    return [*ctes, f"{out} AS MATERIALIZED (SELECT {', '.join(f'b_{i}' for i in range(p))}, m_{p}{slopes} AS b FROM {last})"]
 
 
 def linear(features: Sequence[str]) -> str:
@@ -441,3 +443,26 @@ TWO = {"user_rating": USER_INDEX["v1"], "item_rating": ITEM_INDEX["v6"]}
 add("ols_two_feature", f"SELECT {KEY}, round({linear(list(TWO))}, 6) AS prediction FROM parts, fit WHERE NOT chosen",
     *joined("tf", "train", TWO, "train"), split("tf", 0.75, 1058), "fitting AS (SELECT * FROM parts WHERE chosen)",
     *least_squares(list(TWO), "fitting"))
+
+# --- the least-squares ladder: 0/1 columns for text, the first level being the base -------------
+
+
+def ladder() -> str:
+    dummies = {c: [level_name(c, lv) for lv in LEVELS[c][1:]] for c in CATEGORICAL}
+    cols = ", ".join(f"CAST({c} = '{lv}' AS DOUBLE) AS {level_name(c, lv)}"
+                     for c in ("gender", "occupation", "item_imdb_mature_rating") for lv in LEVELS[c][1:])
+    ctes = [*ALL_MEANS, "known AS (SELECT * FROM ra WHERE NOT is_test)", split("known", 0.75, 1058),
+            f"wide AS MATERIALIZED (SELECT *, {cols} FROM parts)",
+            "fitting AS (SELECT * FROM wide WHERE chosen)"]
+    out = []
+    for step, formula in LADDER.items():
+        terms = formula.split("~")[1].replace(" ", "").split("+")
+        features = [f for t in terms for f in dummies.get(t, [t])]
+        ctes += least_squares(features, "fitting", f"step{step}")
+        out.append(f"SELECT CAST({step} AS INT) AS step, '{formula}' AS formula, count(*) AS n, {RMSE} FROM "
+                   f"(SELECT rating, {linear(features)} AS prediction FROM wide, step{step} WHERE NOT chosen) "
+                   "WHERE prediction IS NOT NULL")
+    return sql(" UNION ALL ".join(out), *ctes)
+
+
+ORACLES["ols_ladder"] = ladder()
