@@ -27,6 +27,7 @@ from marquee.session import materialise
 BLOCK = 2048          # compared rows per block: a block product is at most 32 MB
 CHUNK_CELLS = 2_000_000  # cells a single task reads for one block pair
 STEP = 4_000_000      # products formed at once inside a task
+BROADCAST_BLOCKS = 100_000
 ALL_PARTNERS = 32     # up to this many blocks a list simply goes to every block pair
 
 
@@ -217,8 +218,9 @@ def nearest_neighbours(
         ) -> Iterator[pa.RecordBatch]:
             yield from _add_and_rank(key, batches, k, width)
 
-        # One row per block: the entity count above bounds this broadcast.
-        need = F.broadcast(sizes.select("block", "cells"))
+        # One row per block; the block count is known, so the broadcast is bounded.
+        need = sizes.select("block", "cells")
+        need = F.broadcast(need) if blocks <= BROADCAST_BLOCKS else need
         chunked = (
             paired.join(need.select(F.col("block").alias("b1"), F.col("cells").alias("c1")), "b1")
             .join(need.select(F.col("block").alias("b2"), F.col("cells").alias("c2")), "b2")

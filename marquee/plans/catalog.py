@@ -17,7 +17,7 @@ from marquee.plans.features import (
     two_attribute_means, with_item_mean, with_time_and_bands,
 )
 from marquee.plans.submission import submission
-from marquee.session import configure, materialise, new_path
+from marquee.session import configure, materialise, new_path, spread
 from marquee.sources.files import read_csv, write_csv
 from marquee.sources.ratings import (
     CATEGORICAL, GENRES, MOVIE_COLUMNS, NUMERIC, ROW_KEY, USER_COLUMNS, load_ratings, test_rows, train_rows,
@@ -489,7 +489,10 @@ def cells(spark, d):
 
 @query("rating_histogram_norm")
 def _(spark, d):
-    return profile.histogram(similarity.normalise(cells(spark, d)), {"z": (F.col("z"), 0.25)})
+    raw = cells(spark, d)
+    return profile.histogram(
+        similarity.normalise(raw, "center"), {"centered": (F.col("z"), 1)}
+    ).unionByName(profile.histogram(similarity.normalise(raw), {"z": (F.col("z"), 0.25)}))
 
 
 @query("box_stats")
@@ -583,6 +586,12 @@ def _(spark, d):
         "user_id", "item_id", *[C.r6(F.col(c)).alias(c) for c in ("rating", "user_mean", "user_sd", "z")])
 
 
+@query("center_ratings")
+def _(spark, d):
+    return similarity.normalise(cells(spark, d), "center").select(
+        "user_id", "item_id", *[C.r6(F.col(c)).alias(c) for c in ("rating", "user_mean", "z")])
+
+
 def _neighbour_query(entity, other, k):
     def run(spark, d):
         found = similarity.nearest_neighbours(_z_cells(spark, d), entity, other, k)
@@ -677,8 +686,8 @@ def _tree_parts(spark, d, features=FEATURES):
     fit, holdout, _new = model_parts(spark, d)
     means = missing.fit_means(fit, features)
     keep = [*ROW_KEY, "rating"]
-    return (regress.tree_frame(fit, features, means, keep),
-            regress.tree_frame(holdout, features, means, keep))
+    frame = spread(regress.tree_frame(fit, features, means, keep))
+    return materialise(frame, "training"), regress.tree_frame(holdout, features, means, keep)
 
 
 @query("rf_predict")
@@ -811,6 +820,7 @@ def _(spark, d):
     means = missing.fit_means(fit, FEATURES)
     keep = [*ROW_KEY, "rating"]
     tree_fit, tree_out = (regress.tree_frame(x, FEATURES, means, keep) for x in (fit, holdout))
+    tree_fit = materialise(spread(tree_fit), "training")
     global_mean = fit.agg(F.avg("rating")).scalar()
     scored = {
         "global_mean": holdout.withColumn("prediction", global_mean),

@@ -299,7 +299,12 @@ def bins(col: str, width: float, source: str) -> str:
 add("rating_histogram", " UNION ALL ".join(bins(c, w, "train") for c, w in (
     ("rating", "CAST(1 AS DOUBLE)"), ("age", "CAST(5 AS DOUBLE)"), ("item_imdb_length", "CAST(25 AS DOUBLE)"),
     ("item_imdb_rating_of_ten", "CAST(0.5 AS DOUBLE)"))))
-add("rating_histogram_norm", bins("z", "CAST(0.25 AS DOUBLE)", "z"), CELLS, Z)
+CENTERED = ("middled AS (SELECT *, rating - user_mean AS centered FROM "
+            "(SELECT *, avg(rating) OVER (PARTITION BY user_id) AS user_mean FROM cells))")
+add("rating_histogram_norm", bins("z", "CAST(0.25 AS DOUBLE)", "z") + " UNION ALL "
+    + bins("centered", "CAST(1 AS DOUBLE)", "middled"), CELLS, Z, CENTERED)
+add("center_ratings", "SELECT user_id, item_id, round(rating, 6) AS rating, round(user_mean, 6) AS user_mean, "
+    "round(centered, 6) AS z FROM middled", CELLS, CENTERED)
 add("box_stats", "SELECT age_band, occu_class, q1, median, q3, count(*) AS n, "
     "round(min(user_mean) FILTER (fits), 6) AS lower_whisker, round(max(user_mean) FILTER (fits), 6) AS upper_whisker, "
     "count(*) FILTER (NOT fits) AS outliers FROM (SELECT *, user_mean BETWEEN q1 - 1.5 * (q3 - q1) AND "
