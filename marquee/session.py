@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,7 +21,26 @@ RUNTIME_CONF = {
 }
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, once per application: kernels run there import it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_marquee_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="marquee-"), "marquee.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._marquee_shipped = True
+
+
 def configure(spark: SparkSession) -> SparkSession:
+    """Apply the library's settings to the session, for good, and send the package to the executors."""
+    ship(spark)
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
@@ -44,8 +65,9 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "mar
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local session without
-    that setting gets a temporary folder of its own.
+    A cluster names it in ``spark.checkpoint.dir``; without that setting a folder that the
+    application gave to ``setCheckpointDir`` serves. Only a local session that has neither gets
+    a temporary folder of its own.
     """
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -53,10 +75,11 @@ def work_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(folder)
         return folder.rstrip("/")
+    if sc.getCheckpointDir() is not None:  # set by the application itself
+        return sc.getCheckpointDir().rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="marquee-"))
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="marquee-"))
     return sc.getCheckpointDir().rstrip("/")
 
 
