@@ -2,17 +2,20 @@
 
 The rank file gives each byte string its rank, which is also its id. A text is cut by the
 tokenizer's pattern; each word (match) is encoded on its own by folding the ranked merges over its
-bytes, so the work is done once per distinct word: a task keeps the words it has met in a table of
-bounded size and looks the others up. Decoding concatenates the byte strings of the ids.
+bytes. Words repeat, so the fold runs over the distinct words of a task, all of them side by side,
+and a table of bounded size remembers them. Decoding concatenates the byte strings of the ids.
 """
 
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator, Sequence
+import gc
+import re
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 from hashlib import sha256
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -23,8 +26,9 @@ from pyspark.sql import functions as F
 from marquee.llm.common import prepare
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-KEPT_WORDS = 1 << 18  # encoded words that a Python worker keeps
-PIECE = 1 << 16  # matches of a text that are held at a time
+KEPT_WORDS = 1 << 18  # words, and stretches, that fill a Python worker's table; it holds two fillings
+TOGETHER = 1 << 20  # characters of texts whose stretches are encoded together
+PIECE = 1 << 16  # characters, or matches, of a text that are held at a time
 
 
 @lru_cache(maxsize=2)
@@ -33,80 +37,175 @@ def ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
-def fold(word: bytes, rank: dict[bytes, int]) -> list[bytes]:
-    """The pieces of a word: again and again the adjacent pair of lowest rank, the first of ties, is merged."""
-    if word in rank:
-        return [word]
-    pieces = [word[i : i + 1] for i in range(len(word))]
-    scores = [rank.get(a + b, -1) for a, b in zip(pieces, pieces[1:], strict=False)]
-    while True:
-        best = min((s for s in scores if s >= 0), default=-1)
-        if best < 0:
-            return pieces
-        at = scores.index(best)
-        pieces[at : at + 2] = [pieces[at] + pieces[at + 1]]
-        del scores[at]
-        if at < len(scores):
-            scores[at] = rank.get(pieces[at] + pieces[at + 1], -1)
-        if at:
-            scores[at - 1] = rank.get(pieces[at - 1] + pieces[at], -1)
-
-
-LONG_WORD = 512  # above this many bytes the list fold would take quadratic time
-
-
-def encode_word(word: str, path: str) -> list[int]:
-    raw = word.encode()
-    if len(raw) > LONG_WORD:
-        return long_encoder(path).encode_ordinary(word)
+@lru_cache(maxsize=2)
+def merges(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of the single bytes; every mergeable pair of ids as one sorted number; the id it becomes."""
+    rank = ranks(path)
+    single = np.array([rank[bytes([b])] for b in range(256)], np.int64)
+    found = {}
+    for word, number in rank.items():
+        for cut in range(1, len(word)):
+            left, right = rank.get(word[:cut]), rank.get(word[cut:])
+            if left is not None and right is not None:
+                found[left << 32 | right] = number
+    pairs = np.array(sorted(found), np.int64)
+    return single, pairs, np.array([found[p] for p in pairs.tolist()], np.int64)
+
+
+NEVER = np.iinfo(np.int64).max
+
+
+def fold(words: Sequence[bytes], path: str) -> list[list[int]]:
+    """The ids of each word: again and again its adjacent pair of lowest rank, the first of ties, is merged.
+
+    All words advance together, one merge each per step, until none has a pair left.
+    """
     rank = ranks(path)
-    return [rank[piece] for piece in fold(raw, rank)]
+    ids: list[list[int] | None] = [[rank[w]] if w in rank else [] if not w else None for w in words]
+    open_words = [i for i, x in enumerate(ids) if x is None]
+    if not open_words:
+        return ids
+    single, pairs, becomes = merges(path)
+
+    def score(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left << 32 | right
+        at = np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)
+        return np.where(pairs[at] == key, becomes[at], NEVER)
+
+    token = single[np.frombuffer(b"".join(words[i] for i in open_words), np.uint8)]
+    owner = np.repeat(np.arange(len(open_words)), [len(words[i]) for i in open_words])
+    done_owner, done_token = [], []
+    rated = np.append(np.where(owner[1:] == owner[:-1], score(token[:-1], token[1:]), NEVER), NEVER)
+    while len(token):
+        first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+        size = np.diff(np.append(first, len(owner)))
+        best = np.repeat(np.minimum.reduceat(rated, first), size)
+        ended = best == NEVER
+        if ended.any():
+            done_owner.append(owner[ended])
+            done_token.append(token[ended])
+            token, owner, rated, best = token[~ended], owner[~ended], rated[~ended], best[~ended]
+            if not len(token):
+                break
+        hit = np.flatnonzero(rated == best)
+        hit = hit[np.append(True, owner[hit[1:]] != owner[hit[:-1]])]
+        token[hit] = rated[hit]
+        keep = np.ones(len(token), bool)
+        keep[hit + 1] = False
+        token, owner, rated = token[keep], owner[keep], rated[keep]
+        hit = hit - np.arange(len(hit))  # one token to the left of each has gone for every earlier hit
+        for at in (hit, hit[hit > 0] - 1):
+            inner = at + 1 < len(token)
+            inner[inner] = owner[at[inner]] == owner[at[inner] + 1]
+            rated[at] = NEVER
+            rated[at[inner]] = score(token[at[inner]], token[at[inner] + 1])
+    owner, token = np.concatenate(done_owner), np.concatenate(done_token)
+    listed = token[np.argsort(owner, kind="stable")].tolist()
+    start = 0
+    for i, end in zip(open_words, np.cumsum(np.bincount(owner, minlength=len(open_words))).tolist(), strict=True):
+        ids[i] = listed[start:end]
+        start = end
+    return ids
+
+
+LONG_WORD = 512  # words above this many bytes would need too many steps; the library's heap takes them
 
 
 @lru_cache(maxsize=2)
 def long_encoder(path: str) -> tiktoken.Encoding:
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks(path), special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=r"(?s).+", mergeable_ranks=ranks(path), special_tokens={})
 
 
 @lru_cache(maxsize=2)
-def names(path: str) -> dict[int, bytes]:
-    return {i: piece for piece, i in ranks(path).items()}
+def names(path: str) -> tuple[dict[int, bytes], dict[int, bytes]]:
+    """For each id its bytes, and the id as text behind a comma."""
+    rank = ranks(path)
+    return {i: piece for piece, i in rank.items()}, {i: b",%d" % i for i in rank.values()}
 
 
 def decode(ids: Sequence[int], path: str) -> bytes:
-    name = names(path)
-    return b"".join(map(name.__getitem__, ids))
+    """The byte strings of the ids, concatenated."""
+    name = names(path)[0]
+    return b"".join([name[i] for i in ids])
 
 
-class Words(dict):
-    """word -> (number of ids, ids as text each with a comma before it, decoded bytes), made on first use."""
+class Recent(dict):
+    """A table of bounded size: entries that were not asked for during one filling go at the end of the next."""
 
-    def __init__(self, path: str):
+    def __init__(self, most: int):
         super().__init__()
-        self.path = path
+        self.most, self.older = most, {}
+
+    def __missing__(self, key):
+        self[key] = value = self.older[key]
+        return value
 
-    def __missing__(self, word: str) -> tuple[int, bytes, bytes]:
-        if len(self) >= KEPT_WORDS:
+    def lacking(self, keys: Iterable[str]) -> list[str]:
+        """Those of the distinct ``keys`` to be made. The others stay at hand as long as fewer than ``most`` are made."""
+        keys = list(keys)
+        if len(self) + len(keys) > self.most:
+            self.older = dict(self)
             self.clear()
-        ids = encode_word(word, self.path)
-        self[word] = made = (len(ids), "".join(f",{i}" for i in ids).encode(), decode(ids, self.path))
-        return made
+        return [k for k in keys if k not in self and k not in self.older]
 
 
-@lru_cache(maxsize=2)
-def words_of(path: str) -> Words:
-    return Words(path)
+class Table:
+    """What a Python worker remembers: the ids of words; for a stretch of text its number of ids, the ids as
+    text with a comma before each, and the bytes they decode to."""
 
+    def __init__(self, path: str, cut: str):
+        self.path, self.cut = path, pattern(cut)
+        self.words, self.stretches = Recent(KEPT_WORDS), Recent(KEPT_WORDS)
+
+    def encode_words(self, words: Iterable[str]) -> None:
+        """Make sure the table has the ids of all ``words``, given without repeats."""
+        new = self.words.lacking(words)
+        raw = [w.encode() for w in new]
+        short = [i for i, x in enumerate(raw) if len(x) <= LONG_WORD]
+        for i, ids in zip(short, fold([raw[i] for i in short], self.path), strict=True):
+            self.words[new[i]] = ids
+        for i, x in enumerate(raw):
+            if len(x) > LONG_WORD:
+                self.words[new[i]] = long_encoder(self.path).encode_ordinary(new[i])
+
+    def learn(self, stretches: Iterable[str]) -> None:
+        """Make sure the table has all ``stretches``, given without repeats."""
+        new = self.stretches.lacking(stretches)
+        for low in range(0, len(new), STEP):
+            part = new[low : low + STEP]
+            cut = [self.cut.findall(s) for s in part]
+            self.encode_words(dict.fromkeys(w for words in cut for w in words))
+            name, listed = names(self.path)
+            for s, words in zip(part, cut, strict=True):
+                ids = self.words[words[0]] if len(words) == 1 else [i for w in words for i in self.words[w]]
+                self.stretches[s] = (len(ids), b"".join([listed[i] for i in ids]), b"".join([name[i] for i in ids]))
 
-@lru_cache(maxsize=4)
-def pattern(text: str) -> regex.Pattern:
-    return regex.compile(text)
 
+STEP = 20_000  # stretches that are encoded together
+_TWO_SPACES = re.compile(r"\s\s")
 
-def matches(text: str, cut: str) -> Iterator[list[str]]:
-    """The matches of the pattern in lists of bounded length."""
-    if len(text) <= PIECE:
-        yield pattern(cut).findall(text)
+
+@lru_cache(maxsize=2)
+def table_of(path: str, cut: str) -> Table:
+    return Table(path, cut)
+
+
+def stretches(text: str, cut: str) -> Iterator[list[str]]:
+    """``text`` in stretches that the pattern cuts as it would cut them within the text, in lists of bounded length.
+
+    With the usual pattern a match can begin with a blank but never hold one behind another character,
+    so where no white space is doubled the text may be cut before each blank. Else the
+    matches themselves are the stretches.
+    """
+    if cut == public_tokenizers.PATTERN and not _TWO_SPACES.search(text):
+        for low in range(0, len(text), PIECE):
+            # whole stretches only: from the first blank at or behind each limit to the next one
+            start = 0 if low == 0 else text.find(" ", low)
+            end = text.find(" ", low + PIECE)
+            end = len(text) if end < 0 else end
+            if 0 <= start < end:
+                head, *rest = text[start:end].split(" ")
+                yield ([head] if head else []) + [" " + x for x in rest]
         return
     held = []
     for m in pattern(cut).finditer(text):
@@ -114,16 +213,49 @@ def matches(text: str, cut: str) -> Iterator[list[str]]:
         if len(held) == PIECE:
             yield held
             held = []
-    yield held
-
-
-def digests(text: str | None, path: str, cut: str) -> tuple[int, str, str]:
-    count, ids, decoded, first, known = 0, sha256(), sha256(), True, words_of(path)
-    for part in matches(text or "", cut):
-        if not part:
+    if held:
+        yield held
+
+
+def encoded(texts: Iterable[str | None], path: str, cut: str) -> Iterator[Iterator[list[tuple[int, bytes, bytes]]]]:
+    """For each text what the table says of its stretches, in lists. Distinct stretches of many texts are encoded together."""
+    known = table_of(path, cut)
+
+    def told(parts: list[list[str]]) -> Iterator[list[tuple[int, bytes, bytes]]]:
+        for part in parts:
+            yield list(map(known.stretches.__getitem__, part))
+
+    def late(text: str) -> Iterator[list[tuple[int, bytes, bytes]]]:
+        for part in stretches(text, cut):
+            known.learn(dict.fromkeys(part))
+            yield list(map(known.stretches.__getitem__, part))
+
+    def flush() -> Iterator[Iterator[list[tuple[int, bytes, bytes]]]]:
+        known.learn(dict.fromkeys(s for parts in held for part in parts for s in part))
+        yield from map(told, held)
+
+    held: list[list[list[str]]] = []
+    size = 0
+    for text in texts:
+        text = text or ""
+        if size + len(text) > TOGETHER:
+            yield from flush()
+            held, size = [], 0
+        if len(text) > TOGETHER:  # a very long text goes through in pieces
+            yield late(text)
+        else:
+            held.append(list(stretches(text, cut)))
+            size += len(text)
+    yield from flush()
+
+
+def digests(parts: Iterator[list[tuple[int, bytes, bytes]]]) -> tuple[int, str, str]:
+    """Number of ids, SHA-256 of the ids joined by commas, SHA-256 of the decoded bytes."""
+    count, ids, decoded, first = 0, sha256(), sha256(), True
+    for made in parts:
+        if not made:
             continue
-        made = [known[w] for w in part]
-        count += sum(m[0] for m in made)
+        count += sum([m[0] for m in made])
         listed = b"".join([m[1] for m in made])
         ids.update(listed[1:] if first else listed)
         decoded.update(b"".join([m[2] for m in made]))
@@ -131,6 +263,15 @@ def digests(text: str | None, path: str, cut: str) -> tuple[int, str, str]:
     return count, ids.hexdigest(), decoded.hexdigest()
 
 
+def token_ids(parts: Iterator[list[tuple[int, bytes, bytes]]]) -> list[int]:
+    return [int(i) for made in parts for m in made for i in m[1].split(b",")[1:]]
+
+
+@lru_cache(maxsize=4)
+def pattern(text: str) -> regex.Pattern:
+    return regex.compile(text)
+
+
 def _schema(docs: DataFrame, carry: Sequence[str], more: str) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema.fields) + ", " + more
 
@@ -146,8 +287,10 @@ def token_digests(docs: DataFrame, carry: Sequence[str] = ("doc_id",), path: str
     path = path or public_tokenizers.path(RANKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # the tables hold many small objects and no cycles
         for batch in batches:
-            made = [digests(x.as_py(), path, cut) for x in batch.column(batch.num_columns - 1)]
+            texts = (x.as_py() for x in batch.column(batch.num_columns - 1))
+            made = list(map(digests, encoded(texts, path, cut)))
             count, ids, decoded = zip(*made, strict=True) if made else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(count, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
@@ -164,10 +307,10 @@ def encode(docs: DataFrame, carry: Sequence[str] = ("doc_id",), path: str | None
     path = path or public_tokenizers.path(RANKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # the tables hold many small objects and no cycles
         for batch in batches:
-            known = words_of(path)
-            ids = [[int(i) for part in matches(x.as_py() or "", cut) for w in part for i in known[w][1].split(b",")[1:]]
-                   for x in batch.column(batch.num_columns - 1)]
+            texts = (x.as_py() for x in batch.column(batch.num_columns - 1))
+            ids = list(map(token_ids, encoded(texts, path, cut)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ids, pa.list_(pa.int32()))],
                                              [*batch.schema.names[:-1], "ids"])
 

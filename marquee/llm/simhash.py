@@ -20,7 +20,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -140,13 +140,17 @@ def near_links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
     return dealt.mapInArrow(_links, long("a", "b"))
 
 
+def _hex(column: str) -> Column:
+    return F.lower(F.lpad(F.hex(column), 16, "0"))
+
+
 def near_groups(docs: DataFrame, carry: Sequence[str] = ("doc_id",), block: int = BLOCK) -> DataFrame:
-    """One row per row of ``docs``: the carried columns, fingerprint, component_id.
+    """One row per row of ``docs``: the carried columns, fingerprint, component_id, component_root.
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are ignored unless carried. Texts without
     words (null, empty, white space) have fingerprint zero and link like any other. component_id is
     the smallest doc_id reachable by links; null ids are passed over, and it is null if a component
-    has no other. Rows that repeat an id or a text are kept. An empty table gives an empty result.
+    has no other; component_root, a fingerprint of the component, tells components apart even then. Rows that repeat an id or a text are kept. An empty table gives an empty result.
     """
     prepare(docs.sparkSession)
     names = list(dict.fromkeys([*carry, "doc_id"]))
@@ -159,9 +163,7 @@ def near_groups(docs: DataFrame, carry: Sequence[str] = ("doc_id",), block: int
         "print_", "least_", F.coalesce("root", "print_").alias("root_"))
     labelled = materialise(labelled, "labelled")
     least = labelled.groupBy("root_").agg(F.min("least_").alias("component_id"))
-    classes = labelled.join(least, "root_").select(F.col("print_").alias("p_"), "component_id")
+    classes = labelled.join(least, "root_").select(
+        F.col("print_").alias("p_"), F.col("root_").alias("r_"), "component_id")
     return prints.join(classes, F.col("print_") == F.col("p_")).select(
-        *[F.col(c) for c in carry],
-        F.lower(F.lpad(F.hex("print_"), 16, "0")).alias("fingerprint"),
-        "component_id",
-    )
+        *[F.col(c) for c in carry], _hex("print_").alias("fingerprint"), "component_id", _hex("r_").alias("component_root"))
