@@ -77,14 +77,18 @@ def exact_groups(
         ),
         "recipes",
     )
-    groups = light.groupBy(F.col("recipe_").alias("list_")).agg(
-        F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", row)).alias("best_"))
-    joined = light.join(groups, F.col("recipe_") == F.col("list_"))
+    # Groups of two and more are stored, so that the join sees their size and can split a hot one.
+    groups = materialise(
+        light.groupBy(F.col("recipe_").alias("list_")).agg(
+            F.count(F.lit(1)).alias("size_"), F.max(F.struct("doc_id", row)).alias("best_")).where("size_ > 1"),
+        "groups")
+    joined = light.join(groups, F.col("recipe_") == F.col("list_"), "left")
+    grouped = F.col("size_").isNotNull()
     return joined.select(
         *[F.col(c) for c in carry],
-        F.col("best_.doc_id").alias("keep_id"),
-        "group_size",
-        (F.col(row) == F.col(f"best_.{row}")).alias("kept"),
+        F.when(grouped, F.col("best_.doc_id")).otherwise(F.col("doc_id")).alias("keep_id"),
+        F.coalesce("size_", F.lit(1).cast("long")).alias("group_size"),
+        F.coalesce(F.col(row) == F.col(f"best_.{row}"), F.lit(True)).alias("kept"),
         "text_sha256",
     )
 
