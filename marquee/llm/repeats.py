@@ -195,7 +195,8 @@ def repeated_paths(docs: DataFrame, row: str, window: int = WINDOW, kmer: int =
     """Numbered docs -> (row, first, offsets): windows first + offset repeat somewhere else."""
     anchors = materialise(
         _mapped(docs, row, None, _anchor_kernel(window, kmer), "row long, key long"), "anchors")
-    shared = anchors.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("least")).where("n > 1").select("key")
+    # Stored, so that the join sees its size and can split a hot anchor.
+    shared = materialise(anchors.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "shared")
     marked = by_part(anchors.join(shared, "key", "left_semi").distinct(), "marked")
     paths = materialise(_mapped(docs, row, marked, _path_kernel(window, kmer),
                                 "row long, first int, count int, key long, path long"), "paths")

@@ -130,7 +130,8 @@ def near_links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
     """Distinct fingerprints (print_) -> links (a, b) whose components are those of all close pairs."""
     long = lambda *names: StructType([StructField(n, LongType()) for n in names])
     placed = prints.mapInArrow(_cells, long("cell", "print_"))
-    shared = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Stored, so that the join sees how small it is and can split a hot cell.
+    shared = materialise(placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "cells")
     blocks = F.ceil(F.col("n") / block)
     met = placed.join(shared, "cell").select(
         "cell", "print_", F.pmod(F.xxhash64("print_"), blocks).alias("at"),
