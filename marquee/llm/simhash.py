@@ -133,7 +133,8 @@ def near_links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
     # Stored, so that the join sees how small it is and can split a hot cell.
     shared = materialise(placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "cells")
     blocks = F.ceil(F.col("n") / block)
-    met = placed.join(shared, "cell").select(
+    # A merge join at every size: work and shuffle then grow in proportion to the fingerprints.
+    met = placed.join(shared.hint("merge"), "cell").select(
         "cell", "print_", F.pmod(F.xxhash64("print_"), blocks).alias("at"),
         F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("with"))
     pairs = met.select("cell", F.least("at", "with").alias("i"), F.greatest("at", "with").alias("j"), "print_")
