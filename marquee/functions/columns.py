@@ -97,7 +97,8 @@ def submission_key(user: Column, item: Column) -> Column:
 
 
 def clamp_rating(pred: Column, null_to: float | Column | None = 1.0) -> Column:
-    """Limit a prediction to 1..5. ``null_to=None`` keeps a missing prediction."""
+    """Limit a prediction to 1..5. ``null_to=None`` keeps a missing prediction; NaN is missing too."""
+    pred = F.nanvl(pred.cast("double"), F.lit(None).cast("double"))
     # least() and greatest() skip nulls, so a plain pair would turn null into 5.
     clamped = F.when(pred.isNotNull(), F.greatest(F.lit(1.0), F.least(F.lit(5.0), pred)))
     if null_to is None:

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.operators.joins import null_safe_left_join
 from marquee.functions.columns import any_null, r6
 from marquee.operators.quantiles import exact_quantiles
 from marquee.operators.summaries import count_levels, long_form
@@ -92,8 +93,7 @@ def box_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     spread = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col(value).between(F.col("q1") - spread, F.col("q3") + spread)
     ends = (
-        df.filter(F.col(value).isNotNull())
-        .join(quart, list(by))
+        null_safe_left_join(df.filter(F.col(value).isNotNull()), quart, list(by))
         .groupBy(*by)
         .agg(
             F.count("*").alias("n"),
@@ -102,7 +102,7 @@ def box_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
             F.count_if(~inside).alias("outliers"),
         )
     )
-    return quart.join(ends, list(by))
+    return null_safe_left_join(quart, ends, list(by))
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:

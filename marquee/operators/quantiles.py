@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.operators.joins import null_safe_left_join
 from marquee.functions.columns import r6
 
 
@@ -19,7 +20,7 @@ def exact_quantiles(
     values are counted first, a rough sketch cuts each group into ``slices``
     value ranges, and the running count is formed inside a range only. The
     per-range totals (at most ``slices`` + 1 rows per group) give the offsets.
-    Group keys must not be null.
+    A null group key is a group of its own.
     """
     by = list(by) or ["__all"]
     src = df if by != ["__all"] else df.withColumn("__all", F.lit(0))
@@ -34,7 +35,7 @@ def exact_quantiles(
     cuts = counts.groupBy(*by).agg(
         F.percentile_approx("__v", marks, 1000).alias("__cuts"), F.sum("__n").alias("__total")
     )
-    sliced = counts.join(cuts, by).select(
+    sliced = null_safe_left_join(counts, cuts, by).select(
         *by, "__v", "__n", "__total",
         F.size(F.filter(F.col("__cuts"), lambda c: c < F.col("__v"))).alias("__slice"),
     )
@@ -49,7 +50,7 @@ def exact_quantiles(
     )
     inside = Window.partitionBy(*by, "__slice").orderBy("__v")
     ranked = (
-        sliced.join(offsets, [*by, "__slice"])
+        null_safe_left_join(sliced, offsets, [*by, "__slice"])
         .withColumn("__end", F.col("__before") + F.sum("__n").over(inside))
         .withColumn("__start", F.col("__end") - F.col("__n"))
     )

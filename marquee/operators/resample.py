@@ -55,8 +55,8 @@ def split_fraction(
     df: DataFrame, fraction: float, seed: int, keys: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
     """About ``fraction`` of the rows and the rest, in the scan itself."""
-    limit = f"{int(fraction * 16**8):08x}"
-    inside = F.substring(row_hash(seed, keys), 1, 8) < limit
+    place = F.conv(F.substring(row_hash(seed, keys), 1, 8), 16, 10).cast("long")
+    inside = place < F.lit(int(fraction * 16**8)).cast("long")
     return df.filter(inside), df.filter(~inside)
 
 

@@ -32,17 +32,19 @@ def pivot_ranked_items(cells: DataFrame, ratings: DataFrame, n: int) -> DataFram
         .select(F.posexplode("t").alias("pos", "t"))
         .select(F.col("t.item_id").alias("item_id"), (F.col("pos") + 1).alias("rank"))
     )
-    kept = cells.join(F.broadcast(top), "item_id")
+    # A left join: users who rated none of the top items keep a row of nulls.
+    kept = cells.join(F.broadcast(top), "item_id", "left")
     wide = kept.groupBy("user_id").pivot("rank", list(range(1, n + 1))).agg(F.first("rating"))
     return wide.select("user_id", *[F.col(str(i)).alias(f"item_{i}") for i in range(1, n + 1)])
 
 
 def fit_levels(df: DataFrame, columns: Sequence[str], limit: int = 1000) -> dict[str, list[str]]:
-    """Sorted levels of each categorical column, with a guard on their number."""
-    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    """Sorted levels of each categorical column. Above ``limit`` levels a column per level is refused:
+    ``one_hot_rows`` takes any number."""
+    row = df.agg(*[F.count_distinct(c).alias(c) for c in columns]).first()
     wide = [c for c in columns if row[c] > limit]
     if wide:
-        raise ValueError(f"too many levels for one-hot columns: {wide}")
+        raise ValueError(f"more than {limit} levels, use one_hot_rows: {wide}")
     sets = df.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in columns]).first()
     return {c: list(sets[c]) for c in columns}
 
@@ -51,6 +53,12 @@ def level_name(column: str, level: str) -> str:
     return f"{column}_{re.sub(r'[^0-9a-z]+', '_', level.lower()).strip('_')}"
 
 
+def one_hot_rows(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """The ones of a one-hot encoding as rows (column, level), for any number of levels. A missing value has none."""
+    levels = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level")) for c in columns])
+    return df.select(*keep, F.inline(levels)).where("level IS NOT NULL")
+
+
 def one_hot(df: DataFrame, levels: Mapping[str, Sequence[str]], keep: Sequence[str]) -> DataFrame:
     """0/1 column per level; a missing value stays missing in all of its columns."""
     return df.select(

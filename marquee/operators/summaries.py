@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.operators.joins import null_safe_left_join
 from marquee.functions.columns import r6
 from marquee.operators.quantiles import exact_quantiles
 
@@ -103,13 +104,14 @@ def size_summary(sizes: DataFrame, by: Sequence[str], size: str = "n") -> DataFr
         F.count(F.when(F.col(size) == 1, 1)).alias("singletons"),
     )
     quart = exact_quantiles(sizes, by, size, {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    return basic.join(quart, list(by))
+    return null_safe_left_join(basic, quart, list(by))
 
 
 def rmse(predictions: DataFrame, by: Sequence[str] = (), truth: str = "rating",
          pred: str = "prediction") -> DataFrame:
-    """Rows scored and root mean squared error; rows without a prediction are skipped."""
-    scored = predictions.filter(F.col(pred).isNotNull() & F.col(truth).isNotNull())
+    """Rows scored and root mean squared error; rows without a prediction (null or NaN) are skipped."""
+    told = F.col(pred).isNotNull() & ~F.isnan(F.col(pred).cast("double"))
+    scored = predictions.filter(told & F.col(truth).isNotNull())
     return scored.groupBy(*by).agg(
         F.count("*").alias("n"),
         r6(F.sqrt(F.avg(F.pow(F.col(truth) - F.col(pred), 2)))).alias("rmse"),

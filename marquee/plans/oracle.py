@@ -196,7 +196,7 @@ CELLS = "cells AS MATERIALIZED (SELECT user_id, item_id, avg(rating) AS rating F
 add("user_item_matrix", "SELECT user_id, item_id, round(rating, 6) AS rating FROM cells", CELLS)
 add("pivot_top_items", "SELECT user_id, "
     + ", ".join(f"round(max(CASE WHEN pos = {i} THEN rating END), 6) AS item_{i}" for i in range(1, 11))
-    + " FROM cells JOIN top USING (item_id) GROUP BY user_id",
+    + " FROM cells LEFT JOIN top USING (item_id) GROUP BY user_id",
     CELLS, "top AS (SELECT item_id, row_number() OVER (ORDER BY count(*) DESC, item_id) AS pos FROM train "
     "GROUP BY item_id QUALIFY pos <= 10)")
 rows("one_hot", ", ".join(f"CAST({c} = '{lv}' AS INT) AS {level_name(c, lv)}"
@@ -441,7 +441,7 @@ MODEL = [*FEATURE_TABLE, "known AS (SELECT * FROM ft WHERE NOT is_test)", split(
 rows("feature_table", "user_id, item_id, rating, is_test, hour, release_month, item_length_band, " + names(FEATURES),
      "ft", *FEATURE_TABLE)
 add("ols_model0", f"SELECT {KEY}, round({linear(FEATURES)}, 6) AS prediction FROM parts, fit WHERE NOT chosen", *MODEL)
-add("submission", "SELECT round(CAST(" + clamp("prediction", "1.0") + " AS DOUBLE), 6) AS rating, "
+add("submission", "SELECT round(CAST(" + clamp("prediction", "(SELECT avg(rating) FROM fitting)") + " AS DOUBLE), 6) AS rating, "
     f"concat(user_id, '_', item_id) AS user_item FROM (SELECT *, {linear(FEATURES)} AS prediction FROM ft, fit WHERE is_test)",
     *MODEL)
 TWO = {"user_rating": USER_INDEX["v1"], "item_rating": ITEM_INDEX["v6"]}
