@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.session import configure, materialise
+from marquee.session import configure, new_path
 
 # Rows and bytes of one Arrow batch: texts may be long, so a batch must stay small.
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
@@ -35,7 +35,10 @@ def numbered(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
     """A stored copy of ``docs`` with a unique row number, and the name of that column.
 
     The number is written with the row, so it stays the same however often the
-    table is read. Its upper bits count the stored parts.
+    table is read. Its upper bits count the stored parts. Texts are most of it, so it is packed well.
     """
     name = free_name(docs, "row_number_")
-    return materialise(docs.withColumn(name, F.monotonically_increasing_id()), label), name
+    rows = docs.withColumn(name, F.monotonically_increasing_id())
+    path = new_path(docs.sparkSession, label)
+    rows.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(rows.schema).parquet(path), name

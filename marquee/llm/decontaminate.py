@@ -153,6 +153,25 @@ def contaminated(
     return source.sparkSession.createDataFrame([], schema) if result is None else result
 
 
+def uncontaminated(
+    docs: DataFrame, benchmark: DataFrame, per_edit: int = CHARS_PER_EDIT, block_chars: int = BLOCK_CHARS,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, in which ``contaminated`` finds nothing: one pass, nothing is shuffled."""
+    prepare(docs.sparkSession)
+    for block in item_blocks(benchmark, block_chars):
+        docs = docs.mapInArrow(_filter(block, per_edit), docs.schema)
+    return docs
+
+
+def _filter(block: list[tuple[int, str]], per_edit: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(block, per_edit)
+        for batch in batches:
+            clean = [not matcher.find(normal(x.as_py())) for x in batch.column("text")]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+    return run
+
+
 def _kernel(block: list[tuple[int, str]], per_edit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(block, per_edit)

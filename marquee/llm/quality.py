@@ -18,7 +18,7 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.common import prepare
@@ -202,6 +202,24 @@ def fit(train: DataFrame) -> Model | None:
     return model
 
 
+def _remainder() -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
+
+
+def taught(stats: DataFrame, labels: DataFrame) -> Model | None:
+    """A model from rows (doc_id, stats_) and the labels of those that are not held out."""
+    marks = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("id_")).agg(
+        F.min("quality").alias("label"), F.max("quality").alias("other")).where("label = other")
+    train = stats.where(_remainder() != 2).join(marks, F.col("doc_id") == F.col("id_")).select(
+        "stats_", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).alias("fold"), F.col("label").cast("double").alias("label"))
+    return fit(materialise(train, "labelled"))
+
+
+def _scores(model: Model | None, stats: list[list[float]]) -> np.ndarray:
+    rows = np.array(stats, float).reshape(-1, N_STATISTICS)
+    return np.full(len(rows), UNTAUGHT) if model is None else model.score(rows)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
     """One row per row of ``docs``: the carried columns, held_out, score, predicted.
 
@@ -213,22 +231,29 @@ def quality_scores(docs: DataFrame, labels: DataFrame, carry: Sequence[str] = ("
     """
     prepare(docs.sparkSession)
     names = list(dict.fromkeys([*carry, "doc_id"]))
-    scored = materialise(with_statistics(docs, names), "statistics")
-    remainder = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
-    marks = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("id_")).agg(
-        F.min("quality").alias("label"), F.max("quality").alias("other")).where("label = other")
-    train = scored.where(remainder != 2).join(marks, F.col("doc_id") == F.col("id_")).select(
-        "stats_", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).alias("fold"), F.col("label").cast("double").alias("label"))
-    model = fit(materialise(train, "labelled"))
+    stats = materialise(with_statistics(docs, names), "statistics")
+    model = taught(stats, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            stats = np.array(batch.column(batch.num_columns - 1).to_pylist()).reshape(-1, N_STATISTICS)
-            score = np.full(len(stats), UNTAUGHT) if model is None else model.score(stats)
+            score = _scores(model, batch.column(batch.num_columns - 1).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score)], [*batch.schema.names[:-1], "score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in scored.drop("stats_").schema.fields)
-    told = scored.select(*names, "stats_").mapInArrow(run, f"{schema}, score double")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stats.drop("stats_").schema.fields)
+    told = stats.select(*names, "stats_").mapInArrow(run, f"{schema}, score double")
     return told.select(
-        *carry, F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), "score",
+        *carry, F.coalesce(_remainder() == 2, F.lit(False)).alias("held_out"), "score",
         F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``quality_scores`` predicts to be good: nothing but statistics is shuffled."""
+    prepare(docs.sparkSession)
+    model = taught(materialise(with_statistics(docs, ("doc_id",)), "statistics"), labels)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            score = _scores(model, [statistics(x.as_py()) for x in batch.column("text")])
+            yield batch.filter(pa.array(score >= THRESHOLD, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
