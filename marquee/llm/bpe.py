@@ -23,7 +23,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import prepare
+from marquee.llm.common import prepare, with_text
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 KEPT_WORDS = 1 << 18  # words, and stretches, that fill a Python worker's table; it holds two fillings
@@ -272,10 +272,6 @@ def pattern(text: str) -> regex.Pattern:
     return regex.compile(text)
 
 
-def _schema(docs: DataFrame, carry: Sequence[str], more: str) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema.fields) + ", " + more
-
-
 def token_digests(docs: DataFrame, carry: Sequence[str] = ("doc_id",), path: str | None = None,
                   cut: str = public_tokenizers.PATTERN) -> DataFrame:
     """One row per row of ``docs``: carried columns, n_tokens, ids_sha256, decoded_sha256.
@@ -296,8 +292,8 @@ def token_digests(docs: DataFrame, carry: Sequence[str] = ("doc_id",), path: str
                 [*batch.columns[:-1], pa.array(count, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
                 [*batch.schema.names[:-1], "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(*carry, "text").mapInArrow(
-        run, _schema(docs, carry, "n_tokens long, ids_sha256 string, decoded_sha256 string"))
+    source, carried = with_text(docs, carry)
+    return source.mapInArrow(run, f"{carried}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def encode(docs: DataFrame, carry: Sequence[str] = ("doc_id",), path: str | None = None,
@@ -314,7 +310,8 @@ def encode(docs: DataFrame, carry: Sequence[str] = ("doc_id",), path: str | None
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ids, pa.list_(pa.int32()))],
                                              [*batch.schema.names[:-1], "ids"])
 
-    return docs.select(*carry, "text").mapInArrow(run, _schema(docs, carry, "ids array<int>"))
+    source, carried = with_text(docs, carry)
+    return source.mapInArrow(run, f"{carried}, ids array<int>")
 
 
 def decode_ids(encoded: DataFrame, carry: Sequence[str] = ("doc_id",), path: str | None = None) -> DataFrame:
@@ -328,7 +325,8 @@ def decode_ids(encoded: DataFrame, carry: Sequence[str] = ("doc_id",), path: str
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(raw, pa.binary())],
                                              [*batch.schema.names[:-1], "bytes"])
 
-    return encoded.select(*carry, "ids").mapInArrow(run, _schema(encoded, carry, "bytes binary"))
+    carried = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.select(*carry).schema.fields)
+    return encoded.select(*carry, "ids").mapInArrow(run, f"{carried}, bytes binary")
 
 
 def token_lengths(docs: DataFrame, path: str | None = None, cut: str = public_tokenizers.PATTERN) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,12 @@ def free_name(df: DataFrame, stem: str) -> str:
     return stem
 
 
+def with_text(docs: DataFrame, carry: Sequence[str]) -> tuple[DataFrame, str]:
+    """The carried columns with the text behind them, and the carried columns as a schema."""
+    carried = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema.fields)
+    return docs.select(*carry, F.col("text").alias(free_name(docs, "text_"))), carried
+
+
 def numbered(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
     """A stored copy of ``docs`` with a unique row number, and the name of that column.
 

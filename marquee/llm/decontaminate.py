@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import prepare
+from marquee.llm.common import prepare, with_text
 
 CHARS_PER_EDIT = 16
 BLOCK_CHARS = 4_000_000  # characters of items that one automaton holds
@@ -143,9 +143,8 @@ def contaminated(
     carried; if either table is empty, so is the result.
     """
     prepare(docs.sparkSession)
-    source = docs.select(*carry, "text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.drop("text").schema.fields)
-    schema += ", item_id long, distance int, match_start int, match_end int"
+    source, carried = with_text(docs, carry)
+    schema = f"{carried}, item_id long, distance int, match_start int, match_end int"
     result = None
     for block in item_blocks(benchmark, block_chars):
         found = source.mapInArrow(_kernel(block, per_edit), schema)

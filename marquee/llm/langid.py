@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import prepare
+from marquee.llm.common import prepare, with_text
 from marquee.session import materialise
 
 DIM_BITS = 15
@@ -204,7 +204,6 @@ def languages(docs: DataFrame, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.string()), pa.array(scores, pa.float64())],
                                              [*batch.schema.names[:-1], "lang_pred", "score"])
 
-    source = docs.select(*names, "text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.drop("text").schema.fields)
-    told = source.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    source, carried = with_text(docs, names)
+    told = source.mapInArrow(run, f"{carried}, lang_pred string, score double")
     return told.select(*carry, F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import prepare
+from marquee.llm.common import prepare, with_text
 from marquee.session import materialise
 
 FEATURES, FOLDS, SEED = 192, 5, 20
@@ -87,9 +87,8 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def with_statistics(docs: DataFrame, carry: Sequence[str]) -> DataFrame:
-    source = docs.select(*carry, "text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.drop("text").schema.fields)
-    return source.mapInArrow(_statistics, f"{schema}, stats_ array<double>")
+    source, carried = with_text(docs, carry)
+    return source.mapInArrow(_statistics, f"{carried}, stats_ array<double>")
 
 
 @dataclass

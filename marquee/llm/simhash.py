@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from marquee.llm.common import prepare
+from marquee.llm.common import prepare, with_text
 from marquee.llm.components import components
 from marquee.session import materialise
 
@@ -156,9 +156,8 @@ def near_groups(docs: DataFrame, carry: Sequence[str] = ("doc_id",), block: int
     """
     prepare(docs.sparkSession)
     names = list(dict.fromkeys([*carry, "doc_id"]))
-    source = docs.select(*names, "text")
-    schema = StructType([*source.drop("text").schema.fields, StructField("print_", LongType())])
-    prints = materialise(source.mapInArrow(_fingerprints, schema), "fingerprints")
+    source, carried = with_text(docs, names)
+    prints = materialise(source.mapInArrow(_fingerprints, f"{carried}, print_ long"), "fingerprints")
     distinct = materialise(prints.groupBy("print_").agg(F.min("doc_id").alias("least_")), "prints")
     roots = components(near_links(distinct.select("print_"), block))
     labelled = distinct.join(roots, F.col("print_") == F.col("node"), "left").select(
