@@ -37,17 +37,49 @@ ITEM_INDEX = {
 }
 
 
-def mean_encode(df: DataFrame, keys: Sequence[str], name: str, target: str = "rating") -> DataFrame:
-    """Mean of ``target`` per key, null keys being a group of their own.
+# A mean that serves as a grouping key, and the id it belongs to.
+ID_OF = {"item_mean_rating": "item_id", "user_mean_rating": "user_id"}
+Means = Mapping[str, DataFrame]
 
-    Partial sums are formed before the shuffle, so a key that holds a large part
-    of all rows sends one row per input partition.
+
+def rating_sums(
+    df: DataFrame, keys: Sequence[str], means: Means | None = None, extra: Sequence[str] = (), target: str = "rating"
+) -> DataFrame:
+    """Sum (``__s``) and count (``__n``) of ``target`` per key and ``extra`` column, null keys being groups.
+
+    Partial sums are formed before the shuffle, so a key that holds a large part of all rows sends
+    one row per input partition. A key found in ``means`` (name -> table of id and mean) need not be
+    a column of ``df``: rows are summed per id first, and only these sums are joined to the mean.
     """
-    return df.groupBy(*keys).agg(r6(F.avg(target)).alias(name))
+    derived = {k: means[k] for k in keys if means and k in means}
+    own = dict.fromkeys([*(ID_OF[k] for k in derived), *(k for k in keys if k not in derived), *extra])
+    sums = df.groupBy(*own).agg(F.sum(target).alias("__s"), F.count(target).alias("__n"))
+    if not derived:
+        return sums
+    for k, table in derived.items():
+        sums = null_safe_left_join(sums, table, [ID_OF[k]])
+    return sums.groupBy(*keys, *extra).agg(F.sum("__s").alias("__s"), F.sum("__n").alias("__n"))
+
+
+def mean_encode(
+    df: DataFrame, keys: Sequence[str], name: str, target: str = "rating", means: Means | None = None
+) -> DataFrame:
+    """Mean of ``target`` per key, null keys being a group of their own."""
+    mean = F.when(F.col("__n") > 0, F.col("__s") / F.col("__n"))
+    return rating_sums(df, keys, means, target=target).select(*keys, r6(mean).alias(name))
+
+
+def _join_all(df: DataFrame, store, specs: Mapping[str, Sequence[str]], extra: Sequence[str] = ()) -> DataFrame:
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        tables = list(pool.map(store, specs.items()))
+    for keys, table in zip(specs.values(), tables):
+        df = null_safe_left_join(df, table, [*keys, *extra])
+    return df
 
 
 def add_encodings(
-    df: DataFrame, fit_on: DataFrame, specs: Mapping[str, Sequence[str]], target: str = "rating"
+    df: DataFrame, fit_on: DataFrame, specs: Mapping[str, Sequence[str]], target: str = "rating",
+    means: Means | None = None,
 ) -> DataFrame:
     """Left-join one encoding per entry of ``specs`` (name -> keys).
 
@@ -57,13 +89,9 @@ def add_encodings(
     """
     def store(item):
         name, keys = item
-        return materialise(mean_encode(fit_on, keys, name, target), name)
+        return materialise(mean_encode(fit_on, keys, name, target, means), name)
 
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        tables = list(pool.map(store, specs.items()))
-    for keys, table in zip(specs.values(), tables):
-        df = null_safe_left_join(df, table, keys)
-    return df
+    return _join_all(df, store, specs)
 
 
 def add_item_means(ratings: DataFrame) -> DataFrame:
@@ -71,19 +99,29 @@ def add_item_means(ratings: DataFrame) -> DataFrame:
     return add_encodings(ratings, train_rows(ratings), ITEM_MEANS)
 
 
-def out_of_fold_encode(
-    df: DataFrame, keys: Sequence[str], name: str, fold: str = "fold", target: str = "rating"
+def add_out_of_fold(
+    df: DataFrame, fit_on: DataFrame, specs: Mapping[str, Sequence[str]], fold: str = "fold",
+    target: str = "rating", means: Means | None = None,
 ) -> DataFrame:
     """Encode every row from the folds it is not in.
 
-    One aggregate per (key, fold) carries all sums. The window only sees these
-    sums, at most one row per fold and key, never the raw rows.
+    All encodings are fitted on ``fit_on``, the labelled rows as stored, before the first is joined. One
+    aggregate per (key, fold) carries all sums. The window only sees these sums, at most one row
+    per fold and key, never the raw rows.
     """
-    part = df.groupBy(*keys, fold).agg(F.sum(target).alias("__s"), F.count(target).alias("__n"))
-    whole = Window.partitionBy(*keys)
-    others_n = F.sum("__n").over(whole) - F.col("__n")
-    others_s = F.sum("__s").over(whole) - F.col("__s")
-    enc = materialise(part.select(
-        *keys, fold, r6(F.when(others_n > 0, others_s / others_n)).alias(name)
-    ), name)
-    return null_safe_left_join(df, enc, [*keys, fold])
+    def store(item):
+        name, keys = item
+        whole = Window.partitionBy(*keys)
+        others_n = F.sum("__n").over(whole) - F.col("__n")
+        others_s = F.sum("__s").over(whole) - F.coalesce("__s", F.lit(0))
+        return materialise(rating_sums(fit_on, keys, means, [fold], target).select(
+            *keys, fold, r6(F.when(others_n > 0, others_s / others_n)).alias(name)), name)
+
+    return _join_all(df, store, specs, [fold])
+
+
+def out_of_fold_encode(
+    df: DataFrame, keys: Sequence[str], name: str, fold: str = "fold", target: str = "rating"
+) -> DataFrame:
+    """One encoding, fitted on the other folds of ``df`` itself."""
+    return add_out_of_fold(df, df, {name: keys}, fold, target)

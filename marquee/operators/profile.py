@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from marquee.functions.columns import any_null, r6
 from marquee.operators.quantiles import exact_quantiles
 from marquee.operators.summaries import count_levels, long_form
 
+PAIRS = 64  # correlations per pass over the table
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
@@ -106,29 +108,28 @@ def box_stats(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Correlation of every column pair, computed in one pass.
+    """Correlation of every column pair; an empty table has none.
 
     ``corr`` uses the rows where both are filled; ``corr_everything`` is null as
-    soon as one value of the pair is missing anywhere. Pairs are stacked inside the
-    map tasks and reduced there, so one row per pair and task is shuffled.
+    soon as one value of the pair is missing anywhere. A batch of ``PAIRS`` pairs is
+    one ungrouped aggregate over its columns: no row is copied, one row per task is shuffled.
     """
-    pairs = [
-        F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"),
-                 F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-        for a in columns for b in columns if a < b
-    ]
-    both = F.col("x").isNotNull() & F.col("y").isNotNull()
-    return (
-        df.select(F.inline(F.array(*pairs)))
-        .groupBy("var_x", "var_y")
-        .agg(
-            F.count_if(both).alias("n"), F.count("*").alias("rows"),
-            F.corr(F.when(both, F.col("x")), F.when(both, F.col("y"))).alias("c"),
-        )
-        .select(
-            "var_x", "var_y", "n", r6(F.col("c")).alias("corr"),
-            r6(F.when(F.col("n") == F.col("rows"), F.col("c"))).alias("corr_everything"),
-        )
+    pairs = [(a, b) for a in columns for b in columns if a < b]
+
+    def batch(some: Sequence[tuple[str, str]]) -> DataFrame:
+        sums = [F.count("*").alias("rows")]
+        for i, (a, b) in enumerate(some):
+            x, y = F.col(a).cast("double"), F.col(b).cast("double")
+            both = x.isNotNull() & y.isNotNull()
+            sums += [F.count_if(both).alias(f"n_{i}"), F.corr(F.when(both, x), F.when(both, y)).alias(f"c_{i}")]
+        told = [F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"), F.col("rows"),
+                         F.col(f"n_{i}").alias("n"), F.col(f"c_{i}").alias("c")) for i, (a, b) in enumerate(some)]
+        return df.agg(*sums).filter("rows > 0").select(F.inline(F.array(*told)))
+
+    batches = [batch(pairs[i : i + PAIRS]) for i in range(0, len(pairs), PAIRS)]
+    return reduce(DataFrame.unionAll, batches).select(
+        "var_x", "var_y", "n", r6(F.col("c")).alias("corr"),
+        r6(F.when(F.col("n") == F.col("rows"), F.col("c"))).alias("corr_everything"),
     )
 
 

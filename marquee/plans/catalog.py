@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from marquee.functions import columns as C
 from marquee.operators import encode, factor, joins, missing, profile, regress, resample, reshape, similarity, summaries
 from marquee.plans.features import (
-    FEATURE_INPUT, FEATURES, FEATURES_2, FEATURES_4, feature_table, folded, model_parts, stored_ratings,
+    FEATURE_INPUT, FEATURES, FEATURES_2, FEATURES_4, feature_table, folded, item_means, model_parts, stored_ratings,
     two_attribute_means, with_item_mean, with_time_and_bands,
 )
-from marquee.plans.submission import submission
-from marquee.session import configure, materialise, new_path, spread
+from marquee.plans.submission import boosted_submission, submission
+from marquee.session import configure, deal, materialise, new_path
 from marquee.sources.files import read_csv, write_csv
 from marquee.sources.ratings import (
     CATEGORICAL, GENRES, MOVIE_COLUMNS, NUMERIC, ROW_KEY, USER_COLUMNS, load_ratings, test_rows, train_rows,
@@ -178,10 +178,10 @@ def _(spark, d):
 
 @query("coalesce_feature")
 def _(spark, d):
-    rows = with_item_mean(narrow(spark, d, *encode.USER_GENRE["19"]))
+    rows = narrow(spark, d, *encode.USER_GENRE["19"])
     enc = {"user_genre_mean_rating": encode.USER_GENRE["19"]}
     return keyed(
-        encode.add_encodings(test_rows(rows), train_rows(rows), enc),
+        encode.add_encodings(test_rows(with_item_mean(rows)), train_rows(rows), enc),
         F.coalesce("user_genre_mean_rating", "item_mean_rating").alias("user_genre_mean_rating"),
     )
 
@@ -301,9 +301,12 @@ def _(spark, d):
 
 @query("join_item_index")
 def _(spark, d):
-    rows = with_item_mean(narrow(spark, d, *encode.ITEM_INDEX["v4"]))
+    rows = narrow(spark, d, *encode.ITEM_INDEX["v4"])
+    items = item_means(rows)
     enc = {"item_index_mean_rating": encode.ITEM_INDEX["v4"]}
-    return keyed(encode.add_encodings(rows, train_rows(rows), enc), "item_index_mean_rating")
+    out = encode.add_encodings(joins.null_safe_left_join(rows, items, ["item_id"]), train_rows(rows), enc,
+                               means={"item_mean_rating": items})
+    return keyed(out, "item_index_mean_rating")
 
 
 @query("title_conflicts")
@@ -369,14 +372,14 @@ def _(spark, d):
     )
 
 
-def user_table(spark, d):
-    return train(spark, d).groupBy(*USER_COLUMNS).agg(
+def user_table(labelled):
+    return labelled.groupBy(*USER_COLUMNS).agg(
         F.count("*").alias("count"), C.r6(F.avg("rating")).alias("user_mean"))
 
 
 @query("user_profile")
 def _(spark, d):
-    return user_table(spark, d)
+    return user_table(train(spark, d))
 
 
 @query("enc_user_mean")
@@ -387,13 +390,12 @@ def _(spark, d):
 def _register_encoding(name: str, keys, out: str) -> None:
     @query(name)
     def _(spark, d):
-        rows = with_time_and_bands(load_ratings(spark, d))
-        if "item_mean_rating" in keys:
-            rows = with_item_mean(rows)
-        labelled = train_rows(rows)
-        if "user_mean_rating" in keys:
-            labelled = encode.add_encodings(labelled, labelled, {"user_mean_rating": ("user_id",)})
-        return encode.mean_encode(labelled, keys, out)
+        ids = {k: encode.ID_OF[k] for k in keys if k in encode.ID_OF}
+        if not ids:
+            return encode.mean_encode(train_rows(with_time_and_bands(load_ratings(spark, d))), keys, out)
+        labelled = train_rows(narrow(spark, d, *ids.values(), *keys))
+        means = {k: materialise(encode.mean_encode(labelled, [i], k), k) for k, i in ids.items()}
+        return encode.mean_encode(labelled, keys, out, means=means)
 
 
 for _v, _keys in encode.USER_GENRE.items():
@@ -416,15 +418,16 @@ def _(spark, d):
 
 @query("group_size_summary")
 def _(spark, d):
-    users = user_table(spark, d)
+    labelled = train_rows(narrow(spark, d, *USER_COLUMNS, "movie_title"))
+    users = materialise(user_table(labelled).select("zip_code", "occupation", "count"), "users")
     zips = summaries.count_by(users, ["zip_code"]).select(F.lit("users_per_zip").alias("grouping"), "n")
     jobs = summaries.count_by(users, ["occupation"]).select(
         F.lit("users_per_occupation").alias("grouping"), "n")
-    titles = summaries.count_by(train(spark, d), ["movie_title"]).select(
+    titles = summaries.count_by(labelled, ["movie_title"]).select(
         F.lit("ratings_per_title").alias("grouping"), "n")
     per_user = users.select(F.lit("ratings_per_user").alias("grouping"), F.col("count").alias("n"))
     sizes = reduce(DataFrame.unionByName, [zips, jobs, titles, per_user])
-    return summaries.size_summary(sizes, ["grouping"])
+    return summaries.size_summary(materialise(sizes, "sizes"), ["grouping"])
 
 
 def _top_lists(spark, d):
@@ -497,8 +500,9 @@ def _(spark, d):
 
 @query("box_stats")
 def _(spark, d):
-    users = user_table(spark, d).withColumn("occu_class", C.occupation_class(F.col("occupation")))
-    return profile.box_stats(users, ["age_band", "occu_class"], "user_mean")
+    users = user_table(train(spark, d)).select(
+        "age_band", C.occupation_class(F.col("occupation")).alias("occu_class"), "user_mean")
+    return profile.box_stats(materialise(users, "users"), ["age_band", "occu_class"], "user_mean")
 
 
 @query("corr_matrix")
@@ -508,15 +512,18 @@ def _(spark, d):
 
 @query("pair_association")
 def _(spark, d):
-    rows = train_rows(with_item_mean(with_time_and_bands(load_ratings(spark, d))))
-    films = rows.select("item_id", "item_mean_rating", "item_imdb_rating_of_ten").distinct()
+    labelled = train_rows(narrow(spark, d, *USER_COLUMNS, "item_imdb_rating_of_ten", "item_imdb_length"))
+    items = item_means(labelled)
+    rows = joins.null_safe_left_join(labelled, items, ["item_id"])
+    films = joins.null_safe_left_join(
+        labelled.select("item_id", "item_imdb_rating_of_ten").distinct(), items, ["item_id"])
     parts = [
         (profile.association(films, "item_mean_rating", "item_imdb_rating_of_ten"), "mean_vs_imdb"),
         (profile.association(rows, "item_mean_rating", "item_imdb_length"), "mean_vs_length"),
     ]
     out = [p.select(F.lit(name).alias("pair"), F.lit("all").alias("gender"), "n", "corr", "slope")
            for p, name in parts]
-    by_gender = profile.association(user_table(spark, d), "age", "user_mean", ["gender"])
+    by_gender = profile.association(user_table(labelled), "age", "user_mean", ["gender"])
     out.append(by_gender.select(F.lit("age_vs_user_mean").alias("pair"), "gender", "n", "corr", "slope"))
     return reduce(DataFrame.unionByName, out)
 
@@ -568,9 +575,9 @@ def _(spark, d):
 @query("enc_oof")
 def _(spark, d):
     rows = narrow(spark, d, "user_id", *encode.USER_INDEX["v5"])
-    folds = train_rows(rows).withColumn("fold", resample.hash_fold(5, 42, ROW_KEY))
-    for name, keys in (("user_mean_rating", ["user_id"]), ("user_index_mean_rating", encode.USER_INDEX["v5"])):
-        folds = encode.out_of_fold_encode(folds, keys, name)
+    known = train_rows(rows).withColumn("fold", resample.hash_fold(5, 42, ROW_KEY))
+    specs = {"user_mean_rating": ["user_id"], "user_index_mean_rating": encode.USER_INDEX["v5"]}
+    folds = encode.add_out_of_fold(known, known, specs)
     return keyed(folds, "fold", "user_mean_rating", "user_index_mean_rating")
 
 
@@ -626,6 +633,13 @@ def _(spark, d):
     return similarity.predict_user_based(_pairs(spark, d), z, near)
 
 
+@query("ubcf_predict_5")
+def _(spark, d):
+    z = _z_cells(spark, d)
+    near = similarity.nearest_neighbours(z, "user_id", "item_id", 5)
+    return similarity.predict_user_based(_pairs(spark, d), z, near, default=0.0)
+
+
 @query("head_predictions")
 def _(spark, d):
     return _ibcf(spark, d).orderBy(F.desc("prediction"), *ROW_KEY).limit(10)
@@ -650,6 +664,11 @@ def _(spark, d):
     return submission(spark, d)
 
 
+@query("submission_boosted")
+def _(spark, d):
+    return boosted_submission(spark, d)
+
+
 # --- models ---------------------------------------------------------------------------
 
 def _scored(df, *extra):
@@ -686,8 +705,8 @@ def _tree_parts(spark, d, features=FEATURES):
     fit, holdout, _new = model_parts(spark, d)
     means = missing.fit_means(fit, features)
     keep = [*ROW_KEY, "rating"]
-    frame = spread(regress.tree_frame(fit, features, means, keep))
-    return materialise(frame, "training"), regress.tree_frame(holdout, features, means, keep)
+    frame = materialise(regress.tree_frame(fit, features, means, keep), "training")
+    return deal(frame, ROW_KEY), regress.tree_frame(holdout, features, means, keep)
 
 
 @query("rf_predict")
@@ -711,7 +730,7 @@ def _(spark, d):
 @query("gbt_cv")
 def _(spark, d):
     fit, holdout = _tree_parts(spark, d, FEATURES_2)
-    frame = materialise(resample.repeated_folds(fit, 2, 2, 42, ROW_KEY), "folds")
+    frame = resample.repeated_folds(fit, 2, 2, 42, ROW_KEY)
     model, _errors = regress.repeated_cross_validate(
         regress.boosting(rounds=5, rate=0.1, bag=0.40), {"maxDepth": [2, 4]}, frame, 2, ["fold_1", "fold_2"])
     return _scored(model.transform(holdout))
@@ -721,7 +740,7 @@ def _(spark, d):
 def _(spark, d):
     fit, holdout = _tree_parts(spark, d, FEATURES_4)
     model, _rounds, _curve = regress.boost_with_early_stop(
-        regress.boosting(rounds=12, depth=4, rate=0.1, bag=0.5), folded(fit, 3, 11234), k=3, patience=3)
+        regress.boosting(rounds=12, depth=4, rate=0.1, bag=0.5), deal(folded(fit, 3, 11234), ROW_KEY), k=3, patience=3)
     return _scored(model.transform(holdout))
 
 
@@ -760,27 +779,23 @@ def _als_scored(model, new):
     return _scored(model.transform(new).withColumn("prediction", C.clamp_rating(pred, None)), "rating")
 
 
-def _als(spark, **settings):
-    return factor.als(blocks=max(10, spark.sparkContext.defaultParallelism), **settings)
-
-
 @query("als_predict")
 def _(spark, d):
     frame, new = _als_parts(spark, d)
-    return _als_scored(factor.fit_als(_als(spark, rank=65, rounds=5), frame), new)
+    return _als_scored(factor.fit_als(factor.als(rank=65, rounds=5), frame), new)
 
 
 @query("als_tuned")
 def _(spark, d):
     frame, new = _als_parts(spark, d)
-    search = factor.tune_als(_als(spark, rounds=3), frame, 3, {"rank": [5, 10], "regParam": [0.01, 0.1]})
+    search = factor.tune_als(factor.als(rounds=3), frame, 3, {"rank": [5, 10], "regParam": [0.01, 0.1]})
     return _als_scored(search.bestModel, new)
 
 
 @query("als_rank2_rmse")
 def _(spark, d):
     frame, _new = _als_parts(spark, d)
-    model = factor.fit_als(_als(spark, rank=2, reg=0.01, rounds=10), frame)
+    model = factor.fit_als(factor.als(rank=2, reg=0.01, rounds=10), frame)
     return summaries.rmse(model.transform(frame))
 
 
@@ -810,26 +825,39 @@ def _(spark, d):
 def _(spark, d):
     fit, holdout = _factor_parts(spark, d)
     rows = VectorAssembler(inputCols=[f"factor_{i}" for i in range(1, 8)], outputCol="features")
-    model = regress.fit_trees(regress.random_forest(trees=20), rows.transform(fit))
+    model = regress.fit_trees(regress.random_forest(trees=20), deal(rows.transform(fit), ROW_KEY))
     return _scored(model.transform(rows.transform(holdout)))
 
 
+def _leaderboard(scored):
+    return summaries.rmse(reduce(DataFrame.unionByName, [
+        df.select(F.lit(name).alias("model"), "rating", F.col("prediction").cast("double").alias("prediction"))
+        for name, df in scored.items()
+    ]), ["model"])
+
+
+def _plain_models(fit, holdout):
+    return {
+        "global_mean": holdout.withColumn("prediction", fit.agg(F.avg("rating")).scalar()),
+        "least_squares": holdout.withColumn("prediction", regress.fit_linear(fit, FEATURES).predict()),
+    }
+
+
+@query("plain_leaderboard")
+def _(spark, d):
+    fit, holdout, _new = model_parts(spark, d)
+    return _leaderboard(_plain_models(fit, holdout))
+
+
 @query("model_leaderboard")
 def _(spark, d):
     fit, holdout, _new = model_parts(spark, d)
     means = missing.fit_means(fit, FEATURES)
     keep = [*ROW_KEY, "rating"]
     tree_fit, tree_out = (regress.tree_frame(x, FEATURES, means, keep) for x in (fit, holdout))
-    tree_fit = materialise(spread(tree_fit), "training")
-    global_mean = fit.agg(F.avg("rating")).scalar()
-    scored = {
-        "global_mean": holdout.withColumn("prediction", global_mean),
-        "least_squares": holdout.withColumn("prediction", regress.fit_linear(fit, FEATURES).predict()),
+    tree_fit = deal(materialise(tree_fit, "training"), ROW_KEY)
+    return _leaderboard({
+        **_plain_models(fit, holdout),
         "random_forest": regress.fit_trees(regress.random_forest(trees=10), tree_fit).transform(tree_out),
         "boosting": regress.fit_trees(regress.boosting(rounds=10, rate=0.1), tree_fit).transform(tree_out),
-    }
-    stacked = reduce(DataFrame.unionByName, [
-        df.select(F.lit(name).alias("model"), "rating", F.col("prediction").cast("double").alias("prediction"))
-        for name, df in scored.items()
-    ])
-    return summaries.rmse(stacked, ["model"])
+    })

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions import columns as C
-from marquee.operators.encode import ITEM_INDEX, USER_GENRE, USER_INDEX, add_encodings, out_of_fold_encode
+from marquee.operators.encode import ITEM_INDEX, USER_GENRE, USER_INDEX, add_encodings, add_out_of_fold, mean_encode
+from marquee.operators.joins import null_safe_left_join
 from marquee.operators.resample import balanced_folds, hash_fold, split_exact
 from marquee.session import materialise
 from marquee.sources.ratings import ITEM_MEANS, ROW_KEY, load_ratings, test_rows, train_rows
@@ -40,10 +41,15 @@ def with_time_and_bands(ratings: DataFrame) -> DataFrame:
     })
 
 
-def with_item_mean(ratings: DataFrame) -> DataFrame:
-    """Add only ``item_mean_rating``, the one item mean the encodings need."""
+def item_means(ratings: DataFrame) -> DataFrame:
+    """Stored table of ``item_id`` and ``item_mean_rating``, the one item mean the encodings need."""
     name = "item_mean_rating"
-    return add_encodings(ratings, train_rows(ratings), {name: ITEM_MEANS[name]})
+    return materialise(mean_encode(train_rows(ratings), ITEM_MEANS[name], name), name)
+
+
+def with_item_mean(ratings: DataFrame) -> DataFrame:
+    """Add only ``item_mean_rating``."""
+    return null_safe_left_join(ratings, item_means(ratings), ["item_id"])
 
 
 # What the feature table reads; nothing else is written to the stored ratings.
@@ -69,20 +75,21 @@ def feature_table(ratings: DataFrame, fit_on: str = "all", folds: int = 5) -> Da
     hold-out rows of a later split; ``"train"`` fits on the 80 % split part only;
     ``"out_of_fold"`` encodes each labelled row from the other folds.
     """
-    rows = with_item_mean(ratings)
-    labelled = train_rows(rows)
+    if fit_on not in ("all", "train", "out_of_fold"):
+        raise ValueError(f"fit_on: {fit_on}")
+    items = item_means(ratings)
+    means = {"item_mean_rating": items}
+    # Encodings are fitted on the stored rows; the item mean is joined only to the rows that leave.
+    rows, labelled = null_safe_left_join(ratings, items, ["item_id"]), train_rows(ratings)
     if fit_on == "all":
-        out = add_encodings(rows, labelled, ENCODINGS)
+        out = add_encodings(rows, labelled, ENCODINGS, means=means)
     elif fit_on == "train":
-        out = add_encodings(rows, split_exact(labelled, 0.8, 42, ROW_KEY)[0], ENCODINGS)
-    elif fit_on == "out_of_fold":
-        known = labelled.withColumn("fold", hash_fold(folds, 42, ROW_KEY))
-        new = add_encodings(test_rows(rows), labelled, ENCODINGS)
-        for name, keys in ENCODINGS.items():
-            known = out_of_fold_encode(known, keys, name)
-        out = known.drop("fold").unionByName(new)
+        out = add_encodings(rows, split_exact(labelled, 0.8, 42, ROW_KEY)[0], ENCODINGS, means=means)
     else:
-        raise ValueError(f"fit_on: {fit_on}")
+        fold = hash_fold(folds, 42, ROW_KEY)
+        known = add_out_of_fold(
+            train_rows(rows).withColumn("fold", fold), labelled.withColumn("fold", fold), ENCODINGS, means=means)
+        out = known.drop("fold").unionByName(add_encodings(test_rows(rows), labelled, ENCODINGS, means=means))
     return out.select(*FEATURE_COLUMNS)
 
 
@@ -102,8 +109,7 @@ def two_attribute_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled rows with one mean by user attributes and one by item attributes."""
     specs = {"user_rating": USER_INDEX["v1"], "item_rating": ITEM_INDEX["v6"]}
     needed = dict.fromkeys([*ROW_KEY, "item_id", "rating", "is_test", *specs["user_rating"], *specs["item_rating"]])
-    rows = with_item_mean(stored_ratings(spark, sf_dir, list(needed)))
-    labelled = train_rows(rows)
+    rows = stored_ratings(spark, sf_dir, list(needed))
     return materialise(
-        add_encodings(labelled, labelled, specs).select(*ROW_KEY, "rating", "item_mean_rating", *specs),
+        add_encodings(train_rows(with_item_mean(rows)), train_rows(rows), specs).select(*ROW_KEY, "rating", "item_mean_rating", *specs),
         "attribute_means")

@@ -393,6 +393,8 @@ PREDICTED = (f"SELECT {KEY}, user_id, item_id, coalesce(prediction, 1.0) AS pred
              "FROM (SELECT * FROM ratings WHERE is_test) LEFT JOIN scores USING (user_id, item_id)")
 add("ibcf_predict", PREDICTED, *neighbours("item_id", "user_id", 5), PAIRS, ITEM_SCORES)
 add("ubcf_predict", PREDICTED, *neighbours("user_id", "item_id", 25), PAIRS, USER_SCORES)
+add("ubcf_predict_5", PREDICTED.replace("coalesce(prediction, 1.0)", "coalesce(prediction, 0.0)"),
+    *neighbours("user_id", "item_id", 5), PAIRS, USER_SCORES)
 add("head_predictions", PREDICTED + f" ORDER BY prediction DESC, {KEY} LIMIT 10",
     *neighbours("item_id", "user_id", 5), PAIRS, ITEM_SCORES)
 add("top_n_recommend",
@@ -444,6 +446,10 @@ add("ols_model0", f"SELECT {KEY}, round({linear(FEATURES)}, 6) AS prediction FRO
 add("submission", "SELECT round(CAST(" + clamp("prediction", "(SELECT avg(rating) FROM fitting)") + " AS DOUBLE), 6) AS rating, "
     f"concat(user_id, '_', item_id) AS user_item FROM (SELECT *, {linear(FEATURES)} AS prediction FROM ft, fit WHERE is_test)",
     *MODEL)
+add("plain_leaderboard", " UNION ALL ".join(
+    f"SELECT '{name}' AS model, count(*) AS n, {RMSE} FROM (SELECT rating, {value} AS prediction FROM parts, fit "
+    "WHERE NOT chosen) WHERE prediction IS NOT NULL"
+    for name, value in (("global_mean", "(SELECT avg(rating) FROM fitting)"), ("least_squares", linear(FEATURES)))), *MODEL)
 TWO = {"user_rating": USER_INDEX["v1"], "item_rating": ITEM_INDEX["v6"]}
 add("ols_two_feature", f"SELECT {KEY}, round({linear(list(TWO))}, 6) AS prediction FROM parts, fit WHERE NOT chosen",
     *joined("tf", "train", TWO, "train"), split("tf", 0.75, 1058), "fitting AS (SELECT * FROM parts WHERE chosen)",
