@@ -17,7 +17,8 @@ HEADLINE = (
     "genre_stats", "group_size_summary", "top_n_ties", "corr_matrix", "enc_user_genre_15", "enc_user_index_v5",
     "enc_item_index_v3", "join_item_index", "enc_oof", "impute_mean", "split_exact", "kfold_assign",
     "movie_stats_sql", "normalize_ratings", "ibcf_neighbours", "ibcf_predict", "ubcf_predict",
-    "top_n_recommend", "ols_model0", "rf_predict", "als_predict",
+    "top_n_recommend", "ols_model0", "rf_predict", "als_predict", "pair_association", "ubcf_neighbours",
+    "submission_boosted", "gbt_predict", "linear_cv", "ols_ladder", "model_leaderboard",
 )
 
 
