@@ -30,6 +30,7 @@ from marquee.session import materialise
 
 WORDS, SEED, RADIUS = 4, 42, 4
 BLOCK = 4096
+PLACED = 1 << 15  # fingerprints whose cells one task lists
 SLICE = 1 << 15  # shingles hashed at a time, so that a very long text needs little memory
 
 
@@ -129,7 +130,9 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
     """Distinct fingerprints (print_) -> links (a, b) whose components are those of all close pairs."""
     long = lambda *names: StructType([StructField(n, LongType()) for n in names])
-    placed = prints.mapInArrow(_cells, long("cell", "print_"))
+    # A fingerprint is few bytes but enters about a hundred cells, so rows, not bytes, set the number of tasks.
+    parts = max(1, -(-prints.count() // PLACED))
+    placed = prints.repartition(parts, "print_").mapInArrow(_cells, long("cell", "print_"))
     # Stored, so that the join sees how small it is and can split a hot cell.
     shared = materialise(placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "cells")
     blocks = F.ceil(F.col("n") / block)
