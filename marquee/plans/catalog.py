@@ -14,9 +14,9 @@ from marquee.functions import columns as C
 from marquee.operators import encode, factor, joins, missing, profile, regress, resample, reshape, similarity, summaries
 from marquee.plans.features import (
     FEATURE_INPUT, FEATURES, FEATURES_2, FEATURES_4, feature_table, folded, item_means, model_parts, stored_ratings,
-    two_attribute_means, with_item_mean, with_time_and_bands,
+    two_attribute_means, two_attribute_parts, with_item_mean, with_time_and_bands,
 )
-from marquee.plans.submission import boosted_submission, submission
+from marquee.plans.submission import boosted_submission, submission, to_submission
 from marquee.session import configure, deal, materialise, new_path
 from marquee.sources.files import read_csv, write_csv
 from marquee.sources.ratings import (
@@ -744,16 +744,30 @@ def _(spark, d):
     return _scored(model.transform(holdout))
 
 
-@query("linear_cv")
-def _(spark, d):
-    table = missing.drop_incomplete(
-        two_attribute_means(spark, d), ["item_mean_rating", "user_rating", "item_rating"])
-    fit, holdout = resample.split_exact(table, 0.75, 1058, ROW_KEY)
-    rows = VectorAssembler(inputCols=["item_mean_rating", "user_rating", "item_rating"], outputCol="features")
+LINE = ("item_mean_rating", "user_rating", "item_rating")
+
+
+def _penalised_line(labelled):
+    """Scorer with the penalty that 10 folds of the training part prefer, and the hold-out; rows lacking a feature are left out."""
+    fit, holdout = resample.split_exact(missing.drop_incomplete(labelled, LINE), 0.75, 1058, ROW_KEY)
+    rows = VectorAssembler(inputCols=list(LINE), outputCol="features")
     search = regress.cross_validate(
         LinearRegression(labelCol="rating", elasticNetParam=0.0), {"regParam": [0.0, 0.01, 0.1]},
         folded(rows.transform(fit), 10), k=10)
-    return _scored(search.transform(rows.transform(holdout)))
+    return lambda df: search.transform(rows.transform(df)), holdout
+
+
+@query("linear_cv")
+def _(spark, d):
+    score, holdout = _penalised_line(two_attribute_means(spark, d))
+    return _scored(score(holdout))
+
+
+@query("submission_linear")
+def _(spark, d):
+    labelled, new = two_attribute_parts(spark, d)
+    score, _holdout = _penalised_line(labelled)
+    return to_submission(score(missing.drop_incomplete(new, LINE)))
 
 
 @query("feature_importance")

@@ -105,11 +105,18 @@ def folded(df: DataFrame, k: int, seed: int = 42) -> DataFrame:
     return materialise(balanced_folds(df, k, seed, ROW_KEY, "rating"), "folds")
 
 
-def two_attribute_means(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled rows with one mean by user attributes and one by item attributes."""
+def two_attribute_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Labelled rows and rows to score, with one mean by user attributes and one by item attributes."""
     specs = {"user_rating": USER_INDEX["v1"], "item_rating": ITEM_INDEX["v6"]}
-    needed = dict.fromkeys([*ROW_KEY, "item_id", "rating", "is_test", *specs["user_rating"], *specs["item_rating"]])
+    needed = dict.fromkeys([*ROW_KEY, "user_id", "item_id", "rating", "is_test", *specs["user_rating"], *specs["item_rating"]])
     rows = stored_ratings(spark, sf_dir, list(needed))
-    return materialise(
-        add_encodings(train_rows(with_item_mean(rows)), train_rows(rows), specs).select(*ROW_KEY, "rating", "item_mean_rating", *specs),
+    table = materialise(
+        add_encodings(with_item_mean(rows), train_rows(rows), specs).select(
+            *ROW_KEY, "user_id", "item_id", "rating", "is_test", "item_mean_rating", *specs),
         "attribute_means")
+    return train_rows(table), test_rows(table)
+
+
+def two_attribute_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled rows of ``two_attribute_parts``."""
+    return two_attribute_parts(spark, sf_dir)[0]

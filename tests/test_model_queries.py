@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 from marquee.operators import encode, factor, missing, profile, regress, resample
 from marquee.plans import oracle
 from marquee.plans.catalog import QUERIES
-from marquee.plans.features import FEATURES, folded, two_attribute_means
+from marquee.plans.features import FEATURES, folded, two_attribute_parts
 from marquee.session import deal
 from marquee.sources.ratings import ROW_KEY
 
@@ -92,7 +92,8 @@ def test_boosted_submission_covers_the_test_rows(spark, con, sf_dir):
 def test_penalised_line_matches_numpy(spark, sf_dir):
     """The same folds, grid and refit in closed form: the penalty acts on standardised columns."""
     names = ["item_mean_rating", "user_rating", "item_rating"]
-    table = missing.drop_incomplete(two_attribute_means(spark, sf_dir), names)
+    labelled, new = two_attribute_parts(spark, sf_dir)
+    table = missing.drop_incomplete(labelled, names)
     fit, rest = resample.split_exact(table, 0.75, 1058, ROW_KEY)
     rows, rest = folded(fit, 10).toPandas(), rest.toPandas()
 
@@ -116,6 +117,14 @@ def test_penalised_line_matches_numpy(spark, sf_dir):
     assert got.keys() == want.keys()
     assert max(abs(got[k] - want[k]) for k in want) < 1e-5
 
+    # New rows: those with all three means are scored by the same line and clamped, the others left out.
+    new = new.dropna(subset=names).toPandas()
+    scores = np.clip(new[names].to_numpy(float) @ beta + at, 1, 5)
+    want = sorted(zip(new.user_id + "_" + new.item_id.astype(str), scores))
+    got = sorted((r.user_item, r.rating) for r in QUERIES["submission_linear"](spark, sf_dir).collect())
+    assert want and [k for k, _ in got] == [k for k, _ in want]
+    assert max(abs(a - b) for (_, a), (_, b) in zip(got, want)) < 1e-5
+
 
 def test_same_model_on_any_placement(spark):
     df = spark.range(3000).select(
