@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, chunks, decontaminate, langid, lengths, private, quality, repeats, simhash, warc
+from marquee.llm import bpe, chunks, decontaminate, hardneg, langid, lengths, mixture, private, quality, repeats, simhash, warc
 from marquee.llm.common import table
 
 
@@ -51,6 +51,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeated_spans(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hardneg.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1,
     "op2_pii": op2,
@@ -62,6 +70,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_lengths": op8,
     "op9_bpe": op9,
     "op10_substring_dedup": op10,
+    "op11_hard_negatives": op11,
+    "op13_mixture": op13,
 }
 
 ORACLES: dict[str, str] = {
