@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm import bpe, chunks, decontaminate, hardneg, langid, lengths, mixture, private, quality, repeats, simhash, warc
+from marquee.llm import bpe, bursttrie, chunks, decontaminate, hardneg, langid, lengths, mixture, private, quality, repeats, simhash, warc
 from marquee.llm.common import table
 
 
@@ -55,6 +55,10 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hardneg.hard_negatives(table(spark, sf_dir, "embeddings"))
 
 
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bursttrie.trie(table(spark, sf_dir, "conversations"))
+
+
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix(table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9,
     "op10_substring_dedup": op10,
     "op11_hard_negatives": op11,
+    "op12_prefix_trie": op12,
     "op13_mixture": op13,
 }
 

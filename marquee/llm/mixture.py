@@ -24,7 +24,7 @@ WEIGHTS = (5, 2, 1)
 MOST = 3  # times that a source, and so a document, is taken at most
 SEED = 13
 WINDOW = 1 << 16  # words of taken documents that the knapsack may exchange
-RANKED = 1 << 13  # documents of one length that are ranked together, on average
+RANKED = 1 << 10  # documents of one length that are ranked together, on average
 
 
 def words(text: Column) -> Column:
