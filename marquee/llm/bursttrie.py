@@ -21,7 +21,7 @@ from marquee.llm.ordinals import positions
 from marquee.session import materialise
 
 EVERY, MOST_SHARED = 100, 6  # conversations that share a beginning; number of lengths it can have
-CONTAINER = 4096  # sequences that a container may hold without bursting
+CONTAINER = 512  # sequences that a container may hold without bursting
 STRIDE = 8  # turns by which a container bursts at a time
 SENT = 2000  # rows of one Arrow batch that a sweep sends
 ROOT = b"\0" * 32

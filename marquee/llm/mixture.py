@@ -66,7 +66,7 @@ def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> tuple[np.n
     chosen = np.zeros(len(lengths), np.int64)
     if not len(lengths) or budget <= 0:
         return chosen, 0
-    top = budget + int(lengths.min())
+    top = min(2 * budget, budget + int(lengths.max()))  # sums above it are farther than none at all
     by = np.full(top + 1, -1, np.int64)
     by[0] = 0
     bundles: list[tuple[int, int]] = [(-1, 0)]
@@ -123,7 +123,7 @@ def fit(lengths: np.ndarray, counts: np.ndarray, target: float, most: int = MOST
             if length > 0:
                 back[i] = min(int(chosen[i]), (WINDOW - given) // length)
                 given += int(back[i]) * length
-        small = np.flatnonzero((lengths > 0) & (lengths <= left + given) & (counts - chosen + back > 0))
+        small = np.flatnonzero((lengths > 0) & (lengths <= 2 * (left + given)) & (counts - chosen + back > 0))
         spent, reached = knapsack(lengths[small], (counts - chosen + back)[small], left + given)
         if abs(left + given - reached) < left:
             chosen -= back
