@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import resource
 import zlib
 from collections import Counter
 
@@ -172,8 +173,54 @@ def test_odd_texts_are_cut_like_the_library(monkeypatch):
     alphabet = ["a", "b", " ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "é", "'s", "'ll", "1", "²", "!", "中", "🙂", "The", " of", "\r\n", "q" * 600]
     monkeypatch.setattr(bpe, "PIECE", 7)
     texts = ["".join(RNG.choice(alphabet) for _ in range(RNG.randint(0, 14))) for _ in range(3000)]
-    for text, parts in zip(texts, bpe.encoded(texts, path, cut), strict=True):
-        assert bpe.token_ids(parts) == encoder.encode_ordinary(text)
+    for name, value in (("LONG_STRETCH", 40), ("LONG_WORD", 20), ("TOGETHER", 500), ("CHUNK", 50)):
+        for text, doc in zip(texts, bpe.encoded(texts, path, cut), strict=True):
+            assert doc.columns()[0].tolist() == encoder.encode_ordinary(text)
+        monkeypatch.setattr(bpe, name, value)
+    other = r"\w+|\W"  # any other pattern
+    encoder = tiktoken.Encoding("u", pat_str=other, mergeable_ranks=bpe.ranks(path), special_tokens={})
+    for text, doc in zip(texts, bpe.encoded(texts, path, other), strict=True):
+        assert doc.columns()[0].tolist() == encoder.encode_ordinary(text)
+
+
+def test_long_words_and_stretches():
+    path, cut = public_tokenizers.path(bpe.RANKS), public_tokenizers.PATTERN
+    encoder = tiktoken.Encoding("t", pat_str=cut, mergeable_ranks=bpe.ranks(path), special_tokens={})
+    texts = ["".join(RNG.choice("abcdeilnorst") for _ in range(n)) for n in (255, 256, 257, 3000, 70_000)]
+    texts += ["a" * 5000, "中文。" * 3000, " " * 3000, "\n \n" * 2000 + "x", "b " * 90_000]
+    for text, doc in zip(texts, bpe.encoded(texts, path, cut), strict=True):
+        assert doc.columns()[0].tolist() == encoder.encode_ordinary(text)
+
+
+def test_a_million_blanks(spark):
+    texts = [" " * 1_000_000, "x", None, ""]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    counts = sorted(r.n_tokens for r in bpe.token_lengths(docs).collect())
+    assert counts[:3] == [0, 0, 1] and counts[3] == max(r.n_tokens for r in bpe.token_digests(docs).collect()) > 10_000
+    assert all(r.decoded_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest() for r in bpe.token_digests(docs).collect())
+
+
+def test_memory_stays_flat_without_blanks():
+    def texts(n, seed):
+        g = random.Random(seed)
+        for _ in range(n):
+            yield "".join(chr(g.randint(0x4E00, 0x9FFF)) if i % 12 else "。" for i in range(3000))
+
+    path, cut = public_tokenizers.path(bpe.RANKS), public_tokenizers.PATTERN
+    bpe.encoded(texts(3000, 1), path, cut, bpe.Count)  # more than is gathered at a time
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    counts = bpe.encoded(texts(5000, 2), path, cut, bpe.Count)
+    assert len(counts) == 5000 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss < before + 100_000
+
+
+def test_token_lengths_end_to_end(docs, empty):
+    encoder = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks(public_tokenizers.path(bpe.RANKS)), special_tokens={})
+    numbers = [len(encoder.encode_ordinary(r.text or "")) for r in docs.collect()]
+    report = lengths.limit_report(lengths.length_histogram(bpe.token_lengths(docs))).collect()
+    assert {r.n_tokens: r.n_docs for r in report} == Counter(numbers)
+    for r in report:
+        assert r.tokens_truncated == sum(min(n, r.n_tokens) for n in numbers) and r.docs_over == sum(n > r.n_tokens for n in numbers)
+    assert bpe.token_lengths(empty).count() == 0
 
 
 def test_length_report(spark):
