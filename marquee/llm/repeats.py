@@ -30,7 +30,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import free_name, numbered, prepare
+from marquee.llm.common import free_name, numbered, prepare, uri
 from marquee.session import materialise, new_path
 
 WINDOW, KMER = 35, 8
@@ -106,7 +106,7 @@ def by_part(table: DataFrame, label: str) -> str:
     path = new_path(table.sparkSession, label)
     laid = table.withColumn("part", F.shiftright("row", PART_BITS))
     laid.repartitionByRange("part", "row").sortWithinPartitions("part", "row").write.partitionBy("part").parquet(path)
-    return path if "://" in path else f"file://{path}"
+    return uri(path)
 
 
 def _batch(names: Sequence[str], columns: Sequence) -> pa.RecordBatch:

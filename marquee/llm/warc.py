@@ -29,7 +29,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import prepare
+from marquee.llm.common import prepare, uri
 from marquee.session import materialise, new_path
 
 ARCHIVE_BYTES = 256 << 20  # an archive is closed behind the record that reaches this
@@ -107,12 +107,8 @@ class Archive:
     directory_uri: str
 
 
-def _uri(path: str) -> str:
-    return path if "://" in path or path.startswith("file:") else f"file://{path}"
-
-
-def _files(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", uri))
+def _files(place: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(place)
 
 
 def _rows(columns: dict[str, pa.DataType], rows: list[tuple]) -> pa.RecordBatch:
@@ -198,12 +194,12 @@ def write_archive(pages: DataFrame, least_bytes: int = 0, block_lines: int = BLO
     known = source.join(groups, (F.col("sha") == F.col("sha_")) & (F.col("bytes") == F.col("bytes_")), "left")
     revisit = F.coalesce(~F.col("page_id").eqNullSafe(F.col("keep_id")) & F.col("n").isNotNull(), F.lit(False))
     written = known.select("page_id", "url", F.encode("html", "UTF-8").alias("payload"), "keep_id", revisit.alias("revisit"))
-    captures = materialise(written.mapInArrow(_archive_writer(_uri(f"{folder}/archive")), CAPTURE_SQL), "captures")
+    captures = materialise(written.mapInArrow(_archive_writer(uri(f"{folder}/archive")), CAPTURE_SQL), "captures")
     order = ("key", "page_id", "file", "offset")
     ordered = captures.repartitionByRange(*order).sortWithinPartitions(*order)
     path = f"{folder}/directory"
-    ordered.mapInArrow(_block_writer(_uri(f"{folder}/index"), block_lines), BLOCK_SQL).write.parquet(path)
-    return Archive(captures, spark.read.schema(BLOCK_SQL).parquet(path), _uri(path)), folder
+    ordered.mapInArrow(_block_writer(uri(f"{folder}/index"), block_lines), BLOCK_SQL).write.parquet(path)
+    return Archive(captures, spark.read.schema(BLOCK_SQL).parquet(path), uri(path)), folder
 
 
 @lru_cache(maxsize=2)
@@ -283,10 +279,10 @@ def lookup(archive: Archive, folder: str, keys: DataFrame, with_payload: bool =
     passed over). A damaged record raises an error."""
     wanted = keys.where("key IS NOT NULL").select("key").distinct()
     ordered = wanted.repartitionByRange("key").sortWithinPartitions("key")
-    found = ordered.mapInArrow(_searcher(_uri(f"{folder}/index"), archive.directory_uri), CAPTURE_SQL)
+    found = ordered.mapInArrow(_searcher(uri(f"{folder}/index"), archive.directory_uri), CAPTURE_SQL)
     ranges = found.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
     kind = RECORD_SQL + (", payload binary" if with_payload else "")
-    return ranges.mapInArrow(_reader(_uri(f"{folder}/archive"), with_payload), kind)
+    return ranges.mapInArrow(_reader(uri(f"{folder}/archive"), with_payload), kind)
 
 
 OP6_SQL = """
