@@ -13,7 +13,7 @@ from marquee.functions.columns import any_null, r6
 from marquee.operators.quantiles import exact_quantiles
 from marquee.operators.summaries import count_levels, long_form
 
-PAIRS = 64  # correlations per pass over the table
+PAIRS = 8  # correlations per pass over the table
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 

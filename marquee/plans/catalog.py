@@ -6,12 +6,11 @@ from collections.abc import Callable
 from functools import reduce, wraps
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions import columns as C
-from marquee.operators import encode, factor, joins, missing, profile, regress, resample, reshape, similarity, summaries
+from marquee.operators import boosted, encode, factor, gram, joins, missing, profile, regress, resample, reshape, similarity, summaries
 from marquee.plans.features import (
     FEATURE_INPUT, FEATURES, FEATURES_2, FEATURES_4, feature_table, folded, item_means, model_parts, stored_ratings,
     two_attribute_means, two_attribute_parts, with_item_mean, with_time_and_bands,
@@ -693,12 +692,16 @@ def _(spark, d):
 def _(spark, d):
     needed = [*NUMERIC, *CATEGORICAL]
     table = materialise(train_rows(full(spark, d, CATEGORICAL)).select(*ROW_KEY, *needed), "ladder")
-    fit, holdout = resample.split_exact(table, 0.75, 1058, ROW_KEY)
+    inside = resample.row_hash(1058, ROW_KEY) <= F.lit(resample.split_cut(table, 0.75, 1058, ROW_KEY))
+    terms = {f: [t.strip() for t in f.split("~")[1].split("+")] for f in regress.LADDER.values()}
+    levels = reshape.fit_levels(table.filter(inside), [c for c in CATEGORICAL if any(c in t for t in terms.values())])
+    columns = {t: gram.level_columns(t, levels[t]) if t in levels else {t: F.col(t)} for ts in terms.values() for t in ts}
+    sums = gram.grams(table, {n: c for t in columns.values() for n, c in t.items()}, F.col("rating"), inside.cast("int"))
     steps = []
     for step, formula in regress.LADDER.items():
-        scored = regress.fit_formula(fit, formula).transform(holdout)
-        steps.append(summaries.rmse(scored).select(F.lit(step).alias("step"), F.lit(formula).alias("formula"), "n", "rmse"))
-    return reduce(DataFrame.unionByName, steps)
+        line = sums.fit([n for t in terms[formula] for n in columns[t]], {1})
+        steps.append((step, formula, *sums.error(line, {0})))
+    return spark.createDataFrame(steps, "step int, formula string, n long, rmse double").withColumn("rmse", C.r6(F.col("rmse")))
 
 
 def _tree_parts(spark, d, features=FEATURES):
@@ -750,11 +753,14 @@ LINE = ("item_mean_rating", "user_rating", "item_rating")
 def _penalised_line(labelled):
     """Scorer with the penalty that 10 folds of the training part prefer, and the hold-out; rows lacking a feature are left out."""
     fit, holdout = resample.split_exact(missing.drop_incomplete(labelled, LINE), 0.75, 1058, ROW_KEY)
-    rows = VectorAssembler(inputCols=list(LINE), outputCol="features")
-    search = regress.cross_validate(
-        LinearRegression(labelCol="rating", elasticNetParam=0.0), {"regParam": [0.0, 0.01, 0.1]},
-        folded(rows.transform(fit), 10), k=10)
-    return lambda df: search.transform(rows.transform(df)), holdout
+    sums = gram.grams(folded(fit, 10), {n: F.col(n) for n in LINE}, F.col("rating"), F.col("fold"))
+    folds = set(range(10))
+
+    def error(penalty):
+        return sum(sums.error(sums.fit(LINE, folds - {i}, penalty), {i})[1] for i in folds) / len(folds)
+
+    line = sums.fit(LINE, penalty=min((0.0, 0.01, 0.1), key=error))
+    return lambda df: df.withColumn("prediction", line.predict({n: F.col(n) for n in LINE})), holdout
 
 
 @query("linear_cv")
