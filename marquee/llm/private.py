@@ -3,7 +3,8 @@
 Only DataFrame functions are used. E-mail addresses, IP addresses, card and phone numbers are matched by
 their forms. They seed a bootstrap: the words around them (left word, left and right word, or a
 name with ``=`` or ``:`` at the front of the token) are patterns, the tokens with a digit or ``@`` that
-stand in them are instances. Pattern and instance confidences are computed from each other
+stand in them are instances. Number tokens that follow each other behind single blanks, such as the groups of
+a card or phone number, are one instance, written as its digits. Pattern and instance confidences are computed from each other
 over the graph of distinct pattern-instance pairs for a few rounds, and tokens that confident
 patterns agree on become further spans.
 """
@@ -34,7 +35,11 @@ IP_VALID = rf"^{_PART}\.{_PART}\.{_PART}\.{_PART}$"
 
 _BLANK = r"\x20\x09-\x0D"
 TOKEN = rf"(?<![^{_BLANK}])[^{_BLANK}0-9@]*+[0-9@][^{_BLANK}]*+"
-CONTEXT = 64  # characters beside a token in which its neighbour words are looked for
+# The last and the first word of what lies between two tokens, however long it is; each word is tried once.
+LAST = rf"(?<![^{_BLANK}])([^{_BLANK}]++)[{_BLANK}]*+$"
+FIRST = rf"^[{_BLANK}]*+([^{_BLANK}]++)"
+NUMBER = r"""^[(+]*[0-9][0-9().+-]*["',;:!?\]}>]*$"""
+GOES_ON = r"[0-9)]$"  # a number token that the next one may continue
 ROUNDS, LEAST_SEEDS, CONFIDENT = 3, 3, 0.8
 
 
@@ -52,11 +57,9 @@ def _only_if(present: Column, found: Column) -> Column:
 
 def _tokens(text: Column) -> Column:
     """Tokens with a digit or @, and of each stretch between them its length, last word and first word."""
-    word = rf"[^{_BLANK}]+"
     about = F.transform(F.split(text, TOKEN, -1), lambda g: F.struct(
-        F.length(g).alias("size"),
-        F.lower(F.regexp_extract(F.right(g, F.lit(CONTEXT)), rf"({word})[{_BLANK}]*$", 1)).alias("last"),
-        F.lower(F.regexp_extract(F.left(g, F.lit(CONTEXT)), rf"^[{_BLANK}]*({word})", 1)).alias("first")))
+        F.length(g).alias("size"), (g == " ").alias("single"),
+        F.lower(F.regexp_extract(g, LAST, 1)).alias("last"), F.lower(F.regexp_extract(g, FIRST, 1)).alias("first")))
     return F.struct(about.alias("gaps"), F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)).alias("hits"))
 
 
@@ -115,23 +118,40 @@ def base_spans(found: DataFrame, row: str) -> DataFrame:
 
 
 def candidates(found: DataFrame, row: str) -> DataFrame:
-    """(row, start, end, instance, patterns): tokens without the punctuation around them, and their contexts."""
+    """(row, start, end, instance, patterns): tokens without the punctuation around them, and their contexts.
+
+    A run of number tokens is one candidate, and its context is what stands around the whole run. Its instance is
+    its digits and points, so that one number written in two ways is one instance.
+    """
     placed = _placed(found, row, "tokens_", F.col("gap.size"))
     named = F.regexp_extract("hit", r"^([A-Za-z_][A-Za-z0-9_-]*[=:])[^/]", 1)
     lead = F.when(named != "", F.length(named)).otherwise(0)
     body = F.substring("hit", lead + 1, F.length("hit"))
     head = F.length(F.regexp_extract(body, r"""^(["'(\[<{]*)""", 1))
     inner = F.substring(body, head + 1, F.length(body))
-    instance = F.regexp_replace(inner, r"""["')\]>}.,;:!?]+$""", "")
+    kept = F.regexp_replace(inner, r"""["')\]>}.,;:!?]+$""", "")
     start = F.col("start") + lead + head
-    left, right = F.col("gap.last"), F.col("next_gap.first")
+    number = body.rlike(NUMBER)
+    each = placed.select(
+        row, "at", start.cast("long").alias("start"), (start + F.length(kept)).cast("long").alias("end"), kept.alias("kept"),
+        F.lower(named).alias("named"), number.alias("number"), (number & body.rlike(GOES_ON)).alias("goes_on"),
+        F.col("gap.single").alias("single"), F.col("gap.last").alias("left"), F.col("next_gap.first").alias("right"))
+    order = Window.partitionBy(row).orderBy("at")
+    joins = F.col("number") & (F.col("named") == "") & F.col("single") & F.coalesce(F.lag("goes_on").over(order), F.lit(False))
+    runs = each.withColumn("begins", F.when(joins, 0).otherwise(1)).withColumn(
+        "run", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    runs = runs.groupBy(row, "run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.bool_and("number").alias("number"),
+        F.min(F.struct("at", "named", "left")).alias("first"), F.max(F.struct("at", "right")).alias("last"),
+        F.sort_array(F.collect_list(F.struct("at", "kept"))).alias("parts"))
+    text = F.array_join(F.col("parts.kept"), " ")
+    instance = F.when(F.col("number"), F.regexp_replace(text, "[^0-9.]", "")).otherwise(text)
+    named, left, right = F.col("first.named"), F.col("first.left"), F.col("last.right")
     patterns = F.array(
-        F.when(named != "", F.concat(F.lit("n "), F.lower(named))),
+        F.when(named != "", F.concat(F.lit("n "), named)),
         F.when((named == "") & (left != ""), F.concat(F.lit("l "), left)),
         F.when((named == "") & (left != "") & (right != ""), F.concat(F.lit("b "), left, F.lit(" "), right)))
-    return placed.select(
-        row, start.cast("long").alias("start"), (start + F.length(instance)).cast("long").alias("end"),
-        instance.alias("instance"), F.array_compact(patterns).alias("patterns")).where("instance <> ''")
+    return runs.select(row, "start", "end", instance.alias("instance"), F.array_compact(patterns).alias("patterns")).where("instance <> ''")
 
 
 def discovered(
@@ -140,7 +160,7 @@ def discovered(
 ) -> DataFrame:
     """(row, kind, start, end) of tokens that confident patterns mark and no fixed form covers.
 
-    A token that a span begins in is a seed of its kind. A pattern's confidence for a kind is the sum
+    A token, or run of number tokens, that a span begins in is a seed of its kind. A pattern's confidence for a kind is the sum
     of its instances' confidences over their number plus one; it counts from ``least_seeds`` distinct
     seeds and ``confident`` up. An instance is as sure as the best agreement of its patterns, one minus the
     product of their doubts. Copies of a document add nothing: pairs are counted once.
@@ -184,7 +204,7 @@ def personal_data(docs: DataFrame, carry: Sequence[str] = ("doc_id",), **options
     then by place, comma-joined; base_sha256 is the SHA-256 of the list of the fixed forms alone, which
     the counts count too. Null counts as the empty text, which has no span. Rows that repeat an id
     or a text are judged each; ids may be null; extra columns are ignored unless carried; an empty
-    table gives an empty result.
+    table gives an empty result. The tokens of one text pass through one task, as its text does.
     """
     prepare(docs.sparkSession)
     row = free_name(docs, "row_")

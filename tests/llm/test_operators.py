@@ -14,7 +14,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, chunks, decontaminate, langid, lengths, private, quality, repeats, simhash, warc
+from marquee.llm import bpe, chunks, common, decontaminate, langid, lengths, private, quality, repeats, simhash, warc
 from marquee.llm.components import components
 
 RNG = random.Random(11)
@@ -200,6 +200,13 @@ def test_a_million_blanks(spark):
     assert all(r.decoded_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest() for r in bpe.token_digests(docs).collect())
 
 
+def test_folders_with_one_slash(docs, tmp_path, monkeypatch):
+    places = iter(range(100))
+    for module in (repeats, common):
+        monkeypatch.setattr(module, "new_path", lambda spark, label: f"file:{tmp_path}/{label}-{next(places)}")
+    assert repeats.repeated_spans(docs.limit(20)).count() == 20
+
+
 def test_memory_stays_flat_without_blanks():
     def texts(n, seed):
         g = random.Random(seed)
@@ -316,6 +323,31 @@ def test_personal_data(spark, empty):
     assert private.personal_data(empty).count() == 0
 
 
+def test_contexts_of_whole_spans(spark):
+    """Identifiers whose form fails, in contexts learned from known ones: found whole, however they are spaced or padded."""
+    def luhn(digits):
+        total = sum((2 * d - 9 * (d > 4)) if i % 2 == 0 else d for i, d in enumerate(map(int, reversed(digits))))
+        return str(-total % 10)
+
+    pad = " " * 70
+    texts = [f"call telephone +1 (20{i}) 555-01{i}{i} please" for i in range(9)]
+    cards = [f"411{i}22223333{i}44" for i in range(9)]
+    cards = [c + luhn(c) for c in cards]
+    texts += [f"charge visa {c[:4]} {c[4:8]} {c[8:12]} {c[12:]} soon" for c in cards]
+    texts += [f"from host 10.0.{i}.7 port" for i in range(9)]
+    texts += [f"write mailbin:{pad}user{i}@site{i}.org{pad}today" for i in range(9)]
+    hidden = {
+        "call telephone 974 555 3436 please": "phone:15:27",
+        "charge visa 4111 1111 1111 1112 soon": "card:12:31",
+        "from host 10.0.999.7 port": "ip:10:20",
+        f"write mailbin:{pad}user77@localhost{pad}today": "email:84:100",
+    }
+    rows = list(enumerate(texts + list(hidden)))
+    got = {r.doc_id: r for r in private.personal_data(spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, n_email int, email_ string")).collect()}
+    assert {t: got[len(texts) + i].spans for i, t in enumerate(hidden)} == hidden
+    assert all(got[i].n_added == 0 for i in range(len(texts)))
+
+
 def test_languages(spark, docs, empty):
     sounds = {"aa": "aeioulmnr", "bb": "kztgxqwyv", "cc": "éüößäfhpd"}
     rows = []
