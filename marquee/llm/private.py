@@ -38,6 +38,8 @@ TOKEN = rf"(?<![^{_BLANK}])[^{_BLANK}0-9@]*+[0-9@][^{_BLANK}]*+"
 # The last and the first word of what lies between two tokens, however long it is; each word is tried once.
 LAST = rf"(?<![^{_BLANK}])([^{_BLANK}]++)[{_BLANK}]*+$"
 FIRST = rf"^[{_BLANK}]*+([^{_BLANK}]++)"
+NEAR = 64  # characters that are looked at first; where they hold no whole word, all of the gap is
+NEAR_LAST, NEAR_FIRST = rf"[{_BLANK}]([^{_BLANK}]++)[{_BLANK}]*+$", rf"^[{_BLANK}]*+([^{_BLANK}]++)[{_BLANK}]"
 NUMBER = r"""^[(+]*[0-9][0-9().+-]*["',;:!?\]}>]*$"""
 GOES_ON = r"[0-9)]$"  # a number token that the next one may continue
 ROUNDS, LEAST_SEEDS, CONFIDENT = 3, 3, 0.8
@@ -57,9 +59,13 @@ def _only_if(present: Column, found: Column) -> Column:
 
 def _tokens(text: Column) -> Column:
     """Tokens with a digit or @, and of each stretch between them its length, last word and first word."""
+    def word(g: Column, near: Column, whole_in: str, anywhere: str) -> Column:
+        hit = F.regexp_extract(near, whole_in, 1)
+        return F.lower(F.when(hit != "", hit).otherwise(F.regexp_extract(g, anywhere, 1)))
+
     about = F.transform(F.split(text, TOKEN, -1), lambda g: F.struct(
         F.length(g).alias("size"), (g == " ").alias("single"),
-        F.lower(F.regexp_extract(g, LAST, 1)).alias("last"), F.lower(F.regexp_extract(g, FIRST, 1)).alias("first")))
+        word(g, F.right(g, F.lit(NEAR)), NEAR_LAST, LAST).alias("last"), word(g, F.left(g, F.lit(NEAR)), NEAR_FIRST, FIRST).alias("first")))
     return F.struct(about.alias("gaps"), F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)).alias("hits"))
 
 
