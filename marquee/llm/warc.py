@@ -26,7 +26,7 @@ from functools import lru_cache
 import pyarrow as pa
 import pyarrow.dataset as ds
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.common import prepare, uri
@@ -34,6 +34,8 @@ from marquee.session import materialise, new_path
 
 ARCHIVE_BYTES = 256 << 20  # an archive is closed behind the record that reaches this
 BLOCK_LINES = 1000
+LEAST_SALTS = 64  # at least so many tasks share the pages of one payload
+DIRECTORY_ROWS = 10_000  # rows of the directory searched at a time
 READ_BYTES = 4 << 20  # records that lie side by side are read together up to this
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -119,6 +121,8 @@ def _rows(columns: dict[str, pa.DataType], rows: list[tuple]) -> pa.RecordBatch:
 CAPTURE = {"key": pa.string(), "page_id": pa.int64(), "file": pa.string(), "offset": pa.int64(), "length": pa.int64()}
 BLOCK = {"first": pa.string(), "last": pa.string(), "file": pa.string(), "offset": pa.int64(), "length": pa.int64()}
 CAPTURE_SQL = "key string, page_id long, file string, offset long, length long"
+PLACE = {"file": pa.string(), "offset": pa.int64(), "length": pa.int64(), "keys": pa.list_(pa.string())}
+PLACE_SQL = "file string, offset long, length long, keys array<string>"
 BLOCK_SQL = "first string, last string, file string, offset long, length long"
 
 
@@ -176,24 +180,49 @@ def _block_writer(folder: str, lines: int):
     return run
 
 
+def _decided(source: DataFrame, least_bytes: int) -> DataFrame:
+    """Rows (page_id, url, html) with ``keep_id`` and ``revisit``.
+
+    A payload's rows are dealt over salts that follow the page (the URL where it has no id), so a
+    payload of a third of all pages is spread over as many tasks. Payloads are counted per salt, and
+    a payload's decision goes only to the salts where it occurs.
+    """
+    salts = max(LEAST_SALTS, int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+    def salt(page_id, url):
+        return F.pmod(F.xxhash64(page_id, F.when(page_id.isNull(), url)), F.lit(salts)).cast("int")
+
+    payload = ["sha", "bytes"]
+    source = source.withColumns({"sha": F.sha2("html", 256), "bytes": F.octet_length("html"),
+                                 "salt": salt(F.col("page_id"), F.col("url"))})
+    parts = source.where(F.col("bytes") >= least_bytes).groupBy(*payload, "salt").agg(
+        F.max("page_id").alias("top"), F.count(F.lit(1)).alias("n"))
+    groups = parts.groupBy(*payload).agg(
+        F.max("top").alias("keep_id"), F.sum("n").alias("n"), F.min("salt").alias("low"), F.collect_list("salt").alias("salts")
+    ).where("n > 1").withColumn("keep_salt", F.when(F.col("keep_id").isNull(), F.col("low")).otherwise(
+        salt(F.col("keep_id"), F.lit(None).cast("string"))))
+    found = groups.select(*[F.col(c).alias(f"{c}_") for c in payload], "keep_id", "keep_salt", F.explode("salts").alias("salt_"))
+    # One sort serves the numbering and the join: equal pages meet in one salt, its first row is the response.
+    place = Window.partitionBy(*payload, "salt").orderBy(F.col("page_id").desc_nulls_last())
+    known = source.withColumn("place", F.row_number().over(place)).join(
+        found, F.expr("sha = sha_ AND bytes = bytes_ AND salt = salt_"), "left")
+    first = F.col("page_id").eqNullSafe(F.col("keep_id")) & (F.col("salt") == F.col("keep_salt")) & (F.col("place") == 1)
+    return known.select("page_id", "url", "html", "keep_id", (F.col("keep_salt").isNotNull() & ~first).alias("revisit"))
+
+
 def write_archive(pages: DataFrame, least_bytes: int = 0, block_lines: int = BLOCK_LINES) -> tuple[Archive, str]:
     """Write a record per row of ``pages`` (page_id, url, html) and index them; also gives the folder.
 
     The payload is the html in UTF-8; null is empty. Of records with equal payloads of at least
     ``least_bytes`` bytes the one with the largest page_id is the response, the others are revisits
-    of it; rows that repeat the largest id with the same payload are responses each. Null ids come
-    last. A null url has the empty key. Other columns are ignored; an empty table gives no record.
+    of it; of rows that repeat the largest id with the same payload one is the response. Null ids
+    come last. A null url has the empty key. Other columns are ignored; an empty table gives no record.
+    Rows that repeat id and payload are numbered by one task.
     """
     spark = prepare(pages.sparkSession)
     folder = new_path(spark, "warc")
-    source = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
-    source = source.withColumns({"sha": F.sha2("html", 256), "bytes": F.octet_length("html")})
-    groups = source.where(F.col("bytes") >= least_bytes).select("page_id", "sha", "bytes").groupBy(
-        F.col("sha").alias("sha_"), F.col("bytes").alias("bytes_")).agg(
-        F.max("page_id").alias("keep_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    known = source.join(groups, (F.col("sha") == F.col("sha_")) & (F.col("bytes") == F.col("bytes_")), "left")
-    revisit = F.coalesce(~F.col("page_id").eqNullSafe(F.col("keep_id")) & F.col("n").isNotNull(), F.lit(False))
-    written = known.select("page_id", "url", F.encode("html", "UTF-8").alias("payload"), "keep_id", revisit.alias("revisit"))
+    known = _decided(pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")), least_bytes)
+    written = known.select("page_id", "url", F.encode("html", "UTF-8").alias("payload"), "keep_id", "revisit")
     captures = materialise(written.mapInArrow(_archive_writer(uri(f"{folder}/archive")), CAPTURE_SQL), "captures")
     order = ("key", "page_id", "file", "offset")
     ordered = captures.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -208,39 +237,53 @@ def _directory(uri: str) -> ds.Dataset:
     return ds.dataset(path, filesystem=where, format="parquet", schema=pa.schema(list(BLOCK.items())))
 
 
-def _searcher(index_uri: str, directory_uri: str):
-    """Sorted keys -> the captures of each: the slice of the directory that a batch spans, bisected."""
+def _locator(directory_uri: str):
+    """Sorted keys -> (block, those of the keys that it may hold): bisection in the sparse directory.
+
+    The part of the directory that a batch of keys spans is read piece by piece, so a key that fills
+    very many blocks needs no more memory than another.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        where, base = _files(index_uri)
-        opened: dict[str, pa.NativeFile] = {}
-        block_at, block, keys = None, [], []
         for batch in batches:
             wanted = batch.column(0).to_pylist()
             if not wanted:
                 continue
-            inside = (ds.field("last") >= min(wanted)) & (ds.field("first") <= max(wanted))
-            slice_ = sorted(_directory(directory_uri).to_table(filter=inside).to_pylist(),
-                            key=lambda x: (x["first"], x["last"], x["file"], x["offset"]))
-            lasts = [x["last"] for x in slice_]
-            rows = []
-            for key in wanted:
-                at = bisect.bisect_left(lasts, key)
-                while at < len(slice_) and slice_[at]["first"] <= key:
-                    x = slice_[at]
-                    if block_at != (x["file"], x["offset"]):
-                        if x["file"] not in opened:
-                            opened = {x["file"]: where.open_input_file(f"{base}/{x['file']}")}
-                        raw = zlib.decompress(opened[x["file"]].read_at(x["length"], x["offset"]))
-                        block = [json.loads(line) for line in raw.decode().split("\n")]
-                        keys, block_at = [line[0] for line in block], (x["file"], x["offset"])
-                    low, high = bisect.bisect_left(keys, key), bisect.bisect_right(keys, key)
-                    rows += map(tuple, block[low:high])
-                    at += 1
+            inside = (ds.field("last") >= wanted[0]) & (ds.field("first") <= wanted[-1])
+            for piece in _directory(directory_uri).to_batches(filter=inside, batch_size=DIRECTORY_ROWS):
+                blocks = sorted(zip(*(c.to_pylist() for c in piece.columns), strict=True))
+                lasts, held = [b[1] for b in blocks], {}
+                low = bisect.bisect_left(wanted, blocks[0][0]) if blocks else len(wanted)
+                high = bisect.bisect_right(wanted, lasts[-1]) if blocks else 0
+                for key in wanted[low:high]:
+                    at = bisect.bisect_left(lasts, key)
+                    while at < len(blocks) and blocks[at][0] <= key:
+                        held.setdefault(at, []).append(key)
+                        at += 1
+                if held:
+                    yield _rows(PLACE, [(*blocks[at][2:], keys) for at, keys in held.items()])
+    return run
+
+
+def _block_reader(index_uri: str):
+    """(block, keys) sorted by place -> captures of the keys: one range read a block, then bisection."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        where, base = _files(index_uri)
+        name, opened, block_at, block, keys, rows = None, None, None, [], [], []
+        for batch in batches:
+            for file, offset, length, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if file != name:
+                    name, opened = file, where.open_input_file(f"{base}/{file}")
+                if block_at != (file, offset):
+                    raw = zlib.decompress(opened.read_at(length, offset))
+                    block = [json.loads(line) for line in raw.decode().split("\n")]
+                    keys, block_at = [line[0] for line in block], (file, offset)
+                for key in wanted:
+                    rows += map(tuple, block[bisect.bisect_left(keys, key) : bisect.bisect_right(keys, key)])
                 if len(rows) >= 10_000:
                     yield _rows(CAPTURE, rows)
                     rows = []
-            if rows:
-                yield _rows(CAPTURE, rows)
+        if rows:
+            yield _rows(CAPTURE, rows)
     return run
 
 
@@ -279,7 +322,10 @@ def lookup(archive: Archive, folder: str, keys: DataFrame, with_payload: bool =
     passed over). A damaged record raises an error."""
     wanted = keys.where("key IS NOT NULL").select("key").distinct()
     ordered = wanted.repartitionByRange("key").sortWithinPartitions("key")
-    found = ordered.mapInArrow(_searcher(uri(f"{folder}/index"), archive.directory_uri), CAPTURE_SQL)
+    places = ordered.mapInArrow(_locator(archive.directory_uri), PLACE_SQL)
+    # The blocks of one key go to many tasks, not to the task of the key.
+    spread = places.repartition("file", "offset").sortWithinPartitions("file", "offset")
+    found = spread.mapInArrow(_block_reader(uri(f"{folder}/index")), CAPTURE_SQL)
     ranges = found.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
     kind = RECORD_SQL + (", payload binary" if with_payload else "")
     return ranges.mapInArrow(_reader(uri(f"{folder}/archive"), with_payload), kind)
@@ -287,7 +333,8 @@ def lookup(archive: Archive, folder: str, keys: DataFrame, with_payload: bool =
 
 OP6_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
-g AS (SELECT page_id, h, max(page_id) OVER (PARTITION BY h) AS keep_id, sha1(h) AS hx FROM p),
+g AS (SELECT page_id, h, max(page_id) OVER (PARTITION BY h) AS keep_id, sha1(h) AS hx,
+        row_number() OVER (PARTITION BY h ORDER BY page_id DESC NULLS LAST) AS place FROM p),
 b AS (SELECT *, list_aggregate(list_transform(range(1, 41), lambda i:
         ['0000','0001','0010','0011','0100','0101','0110','0111','1000','1001','1010','1011','1100','1101','1110','1111']
         [strpos('0123456789abcdef', substr(hx, i, 1))]), 'string_agg', '') AS bits FROM g)
@@ -296,7 +343,7 @@ SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
     + 16 * CAST(substr(bits, 5 * i + 1, 1) AS INT) + 8 * CAST(substr(bits, 5 * i + 2, 1) AS INT)
     + 4 * CAST(substr(bits, 5 * i + 3, 1) AS INT) + 2 * CAST(substr(bits, 5 * i + 4, 1) AS INT)
     + CAST(substr(bits, 5 * i + 5, 1) AS INT) AS INT), 1)), 'string_agg', '') AS payload_digest,
-  CASE WHEN page_id = keep_id THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id <> keep_id THEN keep_id END AS refers_to
+  CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN place > 1 THEN keep_id END AS refers_to
 FROM b
 """

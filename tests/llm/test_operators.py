@@ -394,10 +394,13 @@ def test_archive(spark):
     keep = {}
     for p, _, html in pages:
         keep[html or ""] = max(keep.get(html or "", -1), -1 if p is None else p)
-    want = Counter()
+    want, seen = Counter(), set()
     for p, _, html in pages:
         raw, first = (html or "").encode(), keep[html or ""]
-        want[p, len(raw), warc.sha1_base32(raw), "response" if p == first else "revisit", None if p == first else first] += 1
+        kept = p == first and html not in seen
+        if kept:
+            seen.add(html)
+        want[p, len(raw), warc.sha1_base32(raw), "response" if kept else "revisit", None if kept else first] += 1
     assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == want
     assert all(bytes(r.payload) == (dict((p, h) for p, _, h in pages)[r.page_id] or "").encode() for r in got if r.payload is not None)
     one = spark.createDataFrame([(warc.url_key(pages[3][1]),), ("no such",), (None,)], "key string")
@@ -412,3 +415,27 @@ def test_small_payloads_are_always_responses(spark):
     archive, folder = warc.write_archive(df, least_bytes=5)
     kinds = {r.page_id: r.record_type for r in warc.lookup(archive, folder, archive.captures).collect()}
     assert kinds == {1: "response", 2: "response", 3: "revisit", 4: "response"}
+
+
+def test_archive_with_one_payload_and_one_url_key_for_a_third_each(spark):
+    template = "<p>template</p>" * 20
+    pages = [(i, None if i % 3 == 1 else f"http://h{i}.org/", template if i % 3 == 0 else f"page {i}") for i in range(3000)]
+    pages += [(2997, "again", template), (2997, "again", template), *[(None, f"u{i % 2}", "no id") for i in range(5)]]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = warc._decided(df, 0).select("html", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(Counter(r.task for r in placed if r.html == template).values()) < 500  # of 1,002 rows over 8 tasks
+    archive, folder = warc.write_archive(df, block_lines=50)
+    got = warc.lookup(archive, folder, archive.captures).collect()
+    assert Counter(r.page_id for r in got) == Counter(p for p, _, _ in pages)
+    same = [r for r in got if r.payload_bytes == len(template)]
+    assert [r.page_id for r in same if r.record_type == "response"] == [2997] and {r.refers_to for r in same} == {None, 2997}
+    assert Counter((r.record_type, r.refers_to) for r in got if r.page_id is None) == {("response", None): 1, ("revisit", None): 4}
+    hot = spark.createDataFrame([("",), ("org,h2)/",)], "key string")
+    assert sorted(r.page_id for r in warc.lookup(archive, folder, hot).collect()) == sorted([2, *range(1, 3000, 3)])
+    # The blocks of the hot key come as rows of their own, which later tasks share.
+    keys = hot.coalesce(1).sortWithinPartitions("key").mapInArrow(warc._locator(archive.directory_uri), warc.PLACE_SQL)
+    assert keys.where(F.array_contains("keys", "")).count() >= 20
