@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions import columns as C
-from marquee.operators import boosted, encode, factor, gram, joins, missing, profile, regress, resample, reshape, similarity, summaries
+from marquee.operators import boosted, encode, factor, gram, joins, missing, profile, regress, resample, reshape, similarity, sketches, summaries
 from marquee.plans.features import (
     FEATURE_INPUT, FEATURES, FEATURES_2, FEATURES_4, feature_table, folded, item_means, model_parts, stored_ratings,
     two_attribute_means, two_attribute_parts, with_item_mean, with_time_and_bands,
 )
 from marquee.plans.submission import boosted_submission, submission, to_submission
 from marquee.session import configure, deal, materialise, new_path
+from marquee.sources import side
 from marquee.sources.files import read_csv, write_csv
 from marquee.sources.ratings import (
     CATEGORICAL, GENRES, MOVIE_COLUMNS, NUMERIC, ROW_KEY, USER_COLUMNS, load_ratings, test_rows, train_rows,
@@ -27,6 +28,7 @@ QUERIES: dict[str, Query] = {}
 
 RAW_NUMERIC = tuple(c for c in NUMERIC if not c.endswith("mean_rating"))
 NEIGHBOURS = 25
+MAX_FANOUT = 8.0  # four ratings for maturity and null share a key of the index without it
 BASELINE_KEYS = {
     "user_mean": ("user_id",),
     "item_mean": ("item_id",),
@@ -105,6 +107,48 @@ def _(spark, d):
     return profile.null_profile(full(spark, d, CATEGORICAL + ("release_date",)), NUMERIC + CATEGORICAL + ("release_date",))
 
 
+@query("side_table")
+def _(spark, d):
+    return side.parse(side.load_raw(spark, d))
+
+
+@query("side_fields")
+def _(spark, d):
+    return side.field_report(side.load_raw(spark, d))
+
+
+@query("side_profile")
+def _(spark, d):
+    return profile.numeric_profile(side.parse(side.load_raw(spark, d)), side.NUMBERS)
+
+
+@query("side_histogram")
+def _(spark, d):
+    widths = {"votes": 250, "score": 0.5, "critic_score": 10, "budget": 5000, "gross": 5000}
+    return profile.histogram(side.parse(side.load_raw(spark, d)), {c: (F.col(c), w) for c, w in widths.items()})
+
+
+@query("side_correlation")
+def _(spark, d):
+    return profile.correlations(side.parse(side.load_raw(spark, d)), side.NUMBERS)
+
+
+@query("profile_sketch")
+def _(spark, d):
+    labelled = train_rows(full(spark, d, ("timestamp",)))
+    parts = materialise(sketches.numeric_parts(labelled, F.trunc("timestamp", "month"), NUMERIC), "sketches")
+    return sketches.numeric_profile_of(parts)
+
+
+DISTINCT_KEYS = {"users": ("user_id",), "items": ("item_id",), "titles": ("movie_title",), "pairs": ("user_id", "item_id")}
+
+
+@query("distinct_sketch")
+def _(spark, d):
+    parts = sketches.distinct_parts(train(spark, d), F.trunc("timestamp", "month"), DISTINCT_KEYS)
+    return sketches.distinct_counts_of(materialise(parts, "sketches"), list(DISTINCT_KEYS))
+
+
 # --- projection, predicates, scalar expressions --------------------------------
 
 @query("project_ratings")
@@ -348,7 +392,7 @@ def _(spark, d):
         encode.mean_encode(train_rows(rows), encode.ITEM_INDEX["v6"], "item_rating"), "index"
     ).withColumnRenamed("item_imdb_mature_rating", "mature_rating_y")
     keys = [k for k in encode.ITEM_INDEX["v6"] if k != "item_imdb_mature_rating"]
-    return keyed(joins.null_safe_left_join(test_rows(rows), enc, keys),
+    return keyed(joins.guarded_left_join(test_rows(rows), enc, keys, MAX_FANOUT),
                  "item_imdb_mature_rating", "mature_rating_y", "item_rating")
 
 

@@ -8,6 +8,7 @@ from marquee.functions.columns import DAY_PARTS, LENGTH_ABOVE, LENGTH_BANDS, QUA
 from marquee.operators.encode import ITEM_INDEX, USER_GENRE, USER_INDEX
 from marquee.operators.regress import LADDER
 from marquee.operators.reshape import level_name
+from marquee.sources.side import RAW
 from marquee.sources.ratings import (
     CATEGORICAL, GENRES, ITEM_MEANS, MOVIE_COLUMNS, NUMERIC, RATING_COLUMNS, USER_COLUMNS,
 )
@@ -145,6 +146,34 @@ add("null_profile",
     "SELECT \"column\", count(*) - count(value) AS nulls, count(*) > count(value) AS any_null FROM ("
     + stacked(NUMERIC + CATEGORICAL + ("release_date",), "ra", "VARCHAR") + ") GROUP BY \"column\"", *ALL_MEANS)
 
+# Fields of the side table, parsed without the rules of the library's parser.
+SIDE_NUMBERS = ("votes", "score", "critic_score", "budget", "gross")
+SIDE = ("raw AS (SELECT " + ", ".join(f"{e} AS {c}" for c, e in RAW.items()) + " FROM part)")
+FIELD = "(SELECT '{c}' AS \"column\", nullif(nullif(nullif(trim({c}), ''), 'NA'), '-') AS f FROM raw)"
+SIDE_LONG = "(SELECT \"column\", f, TRY_CAST(f AS DOUBLE) AS value FROM (" + " UNION ALL ".join(
+    f"SELECT * FROM {FIELD.format(c=c)}" for c in SIDE_NUMBERS) + "))"
+PARSED = "side AS (SELECT " + ", ".join(
+    f"TRY_CAST({c} AS DOUBLE) AS {c}" if c in SIDE_NUMBERS else c for c in RAW) + " FROM raw)"
+
+
+def side(name: str, select: str) -> None:
+    ORACLES[name] = f"WITH {SIDE}, {PARSED} {select}"
+
+
+side("side_table", f"SELECT {', '.join(RAW)} FROM side")
+side("side_fields", "SELECT \"column\", count(*) AS n, count(*) - count(f) AS gaps, count(f) - count(value) AS malformed "
+     f"FROM {SIDE_LONG} GROUP BY \"column\"")
+side("side_profile", "SELECT \"column\", count(*) AS n, count(*) - count(value) AS nulls, round(min(value), 6) AS min, "
+     f"{QUART}, round(avg(value), 6) AS mean, round(max(value), 6) AS max FROM {SIDE_LONG} GROUP BY \"column\"")
+side("side_histogram", "SELECT \"column\", round(floor(round(value / w, 9)) * w, 6) AS bin, count(*) AS n FROM "
+     f"{SIDE_LONG} JOIN (VALUES ('votes', 250.0::DOUBLE), ('score', 0.5), ('critic_score', 10.0), ('budget', 5000.0), "
+     "('gross', 5000.0)) widths(c, w) ON \"column\" = c WHERE value IS NOT NULL GROUP BY ALL")
+side("side_correlation", " UNION ALL ".join(
+    f"SELECT '{a}' AS var_x, '{b}' AS var_y, count(*) FILTER ({a} IS NOT NULL AND {b} IS NOT NULL) AS n, "
+    f"round(corr({a}, {b}), 6) AS corr, round(CASE WHEN count({a}) = count(*) AND count({b}) = count(*) "
+    f"THEN corr({a}, {b}) END, 6) AS corr_everything FROM side"
+    for a in SIDE_NUMBERS for b in SIDE_NUMBERS if a < b))
+
 # --- projection, predicates, scalar expressions ------------------------------------
 
 rows("project_ratings", "user_id, item_id, rating")
