@@ -9,13 +9,17 @@ distance, whose start is free, so the verification is exact. Case and white spac
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import ahocorasick
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import prepare, with_text
+from marquee.llm.common import prepare, uri, with_text
+from marquee.session import new_path
 
 CHARS_PER_EDIT = 16
 BLOCK_CHARS = 4_000_000  # characters of items that one automaton holds
@@ -85,6 +89,8 @@ class Matcher:
 
     def find(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item number, distance, start, end) of the best match of each item found in normalised ``text``."""
+        if not self.items:  # a block may be empty
+            return []
         starts: dict[int, set[int]] = {}
         for end, (length, where) in self.automaton.iter(text):
             for i, at in where:
@@ -117,16 +123,28 @@ class Matcher:
         yield low, high
 
 
-def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of bounded size; only one block at a time is with the driver."""
-    items = benchmark.select("item_id", "text").where("text IS NOT NULL AND item_id IS NOT NULL").distinct()
-    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    count = int(total // block_chars) + 1
-    for k in range(count):
-        part = items if count == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k)
-        block = sorted((r.item_id, normal(r.text)) for r in part.toLocalIterator())
-        if block := [x for x in block if x[1]]:
-            yield block
+def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> list[str]:
+    """The items, stored in blocks of about ``block_chars`` in the shared folder; tells their folders.
+
+    Tasks read a block there. The driver sees the number of blocks only.
+    """
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(
+        "text IS NOT NULL AND item_id IS NOT NULL").distinct()
+    count = int(items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0] // block_chars) + 1
+    folder = new_path(benchmark.sparkSession, "items")
+    placed = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(count)))
+    placed.repartition("block").write.partitionBy("block").parquet(folder)
+    return [uri(f"{folder}/block={k}") for k in range(count)]
+
+
+def read_block(place: str) -> list[tuple[int, str]]:
+    """Numbers and normalised texts of a stored block in fixed order, without those that are empty."""
+    where, path = fs.FileSystem.from_uri(place)
+    if where.get_file_info(path).type == fs.FileType.NotFound:
+        return []
+    read = pq.read_table(path, filesystem=where, columns=["item_id", "text"], partitioning=None)
+    items = ((i, normal(t)) for i, t in zip(*(c.to_pylist() for c in read.columns), strict=True))
+    return sorted(x for x in items if x[1])
 
 
 def contaminated(
@@ -140,16 +158,14 @@ def contaminated(
     characters of the item; the row tells the best such stretch, the first of ties. Null and empty
     texts match nothing, nor do items whose id or text is null or empty. Items that share an id
     are matched separately. Repeated rows give repeated results; extra columns are ignored unless
-    carried; if either table is empty, so is the result.
+    carried; if either table is empty, so is the result. The shared folder must be a store that
+    ``pyarrow.fs`` knows.
     """
     prepare(docs.sparkSession)
     source, carried = with_text(docs, carry)
     schema = f"{carried}, item_id long, distance int, match_start int, match_end int"
-    result = None
-    for block in item_blocks(benchmark, block_chars):
-        found = source.mapInArrow(_kernel(block, per_edit), schema)
-        result = found if result is None else result.unionAll(found)
-    return source.sparkSession.createDataFrame([], schema) if result is None else result
+    found = [source.mapInArrow(_kernel(place, per_edit), schema) for place in item_blocks(benchmark, block_chars)]
+    return reduce(DataFrame.unionAll, found)
 
 
 def uncontaminated(
@@ -157,23 +173,23 @@ def uncontaminated(
 ) -> DataFrame:
     """The rows of ``docs``, all columns, in which ``contaminated`` finds nothing: one pass, nothing is shuffled."""
     prepare(docs.sparkSession)
-    for block in item_blocks(benchmark, block_chars):
-        docs = docs.mapInArrow(_filter(block, per_edit), docs.schema)
+    for place in item_blocks(benchmark, block_chars):
+        docs = docs.mapInArrow(_filter(place, per_edit), docs.schema)
     return docs
 
 
-def _filter(block: list[tuple[int, str]], per_edit: int):
+def _filter(place: str, per_edit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(block, per_edit)
+        matcher = Matcher(read_block(place), per_edit)
         for batch in batches:
             clean = [not matcher.find(normal(x.as_py())) for x in batch.column("text")]
             yield batch.filter(pa.array(clean, pa.bool_()))
     return run
 
 
-def _kernel(block: list[tuple[int, str]], per_edit: int):
+def _kernel(place: str, per_edit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(block, per_edit)
+        matcher = Matcher(read_block(place), per_edit)
         for batch in batches:
             index, rows = [], []
             for i, text in enumerate(batch.column(batch.num_columns - 1)):
