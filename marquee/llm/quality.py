@@ -226,11 +226,14 @@ def quality_scores(docs: DataFrame, labels: DataFrame, carry: Sequence[str] = ("
     remainder are held out. Only the text enters a score. Null and empty texts are scored by the
     statistics of the empty text. A null id is neither held out nor learned from. Ids that ``labels``
     marks both ways or not at all teach nothing; repeated labels count once. Without any label to
-    learn from every score is ``UNTAUGHT``. Extra columns are ignored unless carried.
+    learn from every score is ``UNTAUGHT``. Extra columns are ignored unless carried, under any name;
+    one named like a result stands before it.
     """
     prepare(docs.sparkSession)
-    names = list(dict.fromkeys([*carry, "doc_id"]))
-    stats = materialise(with_statistics(docs, names), "statistics")
+    # Carried columns go by number, so none can bear the name of a working column.
+    names = {f"carried_{i}": c for i, c in enumerate(carry)}
+    plain = docs.select(*[F.col(f"`{c}`").alias(n) for n, c in names.items()], "doc_id", "text")
+    stats = materialise(with_statistics(plain, [*names, "doc_id"]), "statistics")
     model = taught(stats, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,9 +242,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, carry: Sequence[str] = ("
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score)], [*batch.schema.names[:-1], "score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stats.drop("stats_").schema.fields)
-    told = stats.select(*names, "stats_").mapInArrow(run, f"{schema}, score double")
+    told = stats.mapInArrow(run, f"{schema}, score double")
     return told.select(
-        *carry, F.coalesce(_remainder() == 2, F.lit(False)).alias("held_out"), "score",
+        *[F.col(n).alias(c) for n, c in names.items()], F.coalesce(_remainder() == 2, F.lit(False)).alias("held_out"), "score",
         F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 

@@ -1,11 +1,17 @@
 """The pipeline's stages against brute force."""
 
+import hashlib
 import random
+from collections import Counter
 
 import corpus_pipeline
+import public_tokenizers
 import pytest
+import tiktoken
+from tiktoken.load import load_tiktoken_bpe
 
-from marquee.llm import shingles
+from marquee.llm import decontaminate, quality, shingles
+from marquee.session import materialise
 
 RNG = random.Random(5)
 
@@ -69,3 +75,132 @@ def test_near_copies_are_dropped(spark):
         best.setdefault(want[i], []).append((r[0] is None, r[0] or 0))
     assert sorted(r.doc_id or 0 for r in kept) == sorted(min(v)[1] for v in best.values())
     assert kept[0].__fields__ == ["doc_id", "text", "id_"]
+
+
+# --- the whole pipeline -------------------------------------------------------------------
+
+WORDS = "river stone bright window garden paper morning little answer market winter travel music simple letter".split()
+SCHEMA = "doc_id long, text string, row_number_ int, kept_ string, stats_ int"
+
+
+def prose(n):
+    words = [RNG.choice(WORDS) + RNG.choice(["", "", "s", "ed"]) + str(RNG.randrange(9)) * (RNG.random() < 0.2) for _ in range(n)]
+    return " ".join(words).capitalize() + "."
+
+
+def junk():
+    return " ".join(RNG.choice(["$$$", "!!!!", "#click#", "WIN", "0000", "||||"]) for _ in range(30))
+
+
+def edits_in(item, text):
+    """Least edit distance of the item to any stretch of the text."""
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(item, 1):
+        new = [i]
+        for j, b in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (a != b)))
+        row = new
+    return min(row)
+
+
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, tmp_path_factory):
+    """Folder and rows: prose and junk, copies, near copies, benchmark passages, nulls, repeats, columns with taken names."""
+    passages = [prose(20) for _ in range(4)]
+    texts = [prose(40) for _ in range(50)] + [junk() for _ in range(25)]
+    rows = [(i, t, i, "kept", 0) for i, t in enumerate(texts)]
+    labels = [(i, int(i < 50)) for i in range(75)] + [(None, 1), (3, None), (60, 0)]
+    base = prose(150)
+    rows += [(200 + i, texts[i % 3].upper() if i % 2 else texts[i % 3], None, None, None) for i in range(9)]
+    rows += [(300 + i, base.replace(" ", "  ", i) + f" tail{i}", 1, "k", 1) for i in range(4)]
+    rows += [(400 + i, prose(15) + " " + p.replace("e", "x", 1) + " " + prose(15), 1, "k", 1) for i, p in enumerate(passages)]
+    rows += [(None, base, 1, "k", 1), (None, prose(40), 1, "k", 1), (500, None, 1, "k", 1), (501, "", 1, "k", 1), (None, None, 1, "k", 1)]
+    rows += [(600, texts[7], 1, "k", 1)] * 2 + [(7, texts[7], 7, "kept", 0)]
+    folder = str(tmp_path_factory.mktemp("corpus"))
+    spark.createDataFrame(rows, SCHEMA).repartition(5).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+    items = [*enumerate(passages), (None, texts[0]), (9, None), (10, "")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return folder, rows, passages
+
+
+def brute_exact(rows):
+    best = {}
+    for r in rows:
+        k = lowered(r[1])
+        if k not in best or (r[0] is not None and (best[k][0] is None or r[0] > best[k][0])):
+            best[k] = r
+    return list(best.values())
+
+
+def brute_near(rows):
+    root, best = groups_of([r[1] for r in rows]), {}
+    for i, r in enumerate(rows):
+        old = best.get(root[i])
+        if old is None or (r[0] is None, r[0] or 0) < (old[0] is None, old[0] or 0):
+            best[root[i]] = r
+    return list(best.values())
+
+
+def brute_clean(rows, passages):
+    items = [decontaminate.normal(p) for p in passages]
+    return [r for r in rows
+            if not any(edits_in(i, decontaminate.normal(r[1])) <= decontaminate.budget(len(i)) for i in items)]
+
+
+def brute_tokens(rows):
+    library = tiktoken.Encoding(
+        "ranks", pat_str=public_tokenizers.PATTERN, special_tokens={},
+        mergeable_ranks=load_tiktoken_bpe(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
+    out = []
+    for r in rows:
+        ids = library.encode_ordinary(r[1] or "")
+        digests = [hashlib.sha256(x).hexdigest() for x in (",".join(map(str, ids)).encode(), (r[1] or "").encode())]
+        out.append((r[0], len(ids), *digests))
+    return out
+
+
+def bag(rows):
+    """Rows as a multiset; equal texts that differ in case only may stand for one another."""
+    return Counter((r[0], lowered(r[1])) for r in rows)
+
+
+def test_every_stage_and_the_run_equal_brute_force(spark, corpus):
+    folder, rows, passages = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    scored = quality.quality_scores(docs, spark.read.parquet(f"{folder}/labels.parquet"), carry=docs.columns)
+    want = [tuple(r)[:5] for r in scored.where("predicted = 1").collect()]
+    junk_ids = set(range(50, 75))
+    assert not junk_ids & {r[0] for r in want} and {r[0] for r in want} >= set(range(50))
+    left = docs
+    for (name, stage), brute in zip(corpus_pipeline.STAGES[:-1], (
+            lambda _: want, brute_exact, brute_near, lambda x: brute_clean(x, passages)), strict=True):
+        expected = brute([tuple(r) for r in left.collect()])
+        left = materialise(stage(spark, left, folder), "stage-test")
+        assert left.columns == docs.columns, name
+        assert bag(left.collect()) == bag(expected), name
+    # What was planted: three exact groups, one near group, all passages.
+    ids = [r.doc_id for r in left.collect()]
+    assert not {400, 401, 402, 403} & set(ids) and len({300, 301, 302, 303} & set(ids)) == 1
+    tokens = Counter(map(tuple, corpus_pipeline.count_tokens(spark, left, folder).collect()))
+    assert tokens == Counter(brute_tokens([tuple(r) for r in left.collect()]))
+    whole = Counter((r.doc_id, r.n_tokens) for r in corpus_pipeline.run(spark, folder).collect())
+    assert sum(whole.values()) == len(ids) and set(whole) == {(r[0], r[1]) for r in tokens}
+
+
+def test_stages_on_empty_tables(spark, corpus, tmp_path):
+    folder = corpus[0]
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    nothing = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    full = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, nothing, folder).count() == 0, name
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    # Without labels or benchmark items nothing is known against a document.
+    for stage in (corpus_pipeline.keep_quality, corpus_pipeline.drop_contaminated):
+        assert stage(spark, full, str(tmp_path)).count() == full.count()
