@@ -28,6 +28,7 @@ BLOCK = 2048          # compared rows per block: a block product is at most 32 M
 CHUNK_CELLS = 2_000_000  # cells a single task reads for one block pair
 STEP = 4_000_000      # products formed at once inside a task
 BROADCAST_BLOCKS = 100_000
+GRAPH_ROWS = 1_000_000  # edges of neighbour lists that are broadcast, some 50 MB
 ALL_PARTNERS = 32     # up to this many blocks a list simply goes to every block pair
 
 
@@ -277,13 +278,25 @@ def predict_user_based(pairs: DataFrame, cells: DataFrame, neighbours: DataFrame
     return lookup_with_default(pairs, _weighted(found, cells), ["user_id", "item_id"], "prediction", default)
 
 
-def recommend_unseen(cells: DataFrame, neighbours: DataFrame, n: int = 25) -> DataFrame:
-    """The ``n`` best unseen items of each user, scored from item neighbours."""
-    found = cells.select("user_id", F.col("item_id").alias("neighbour"), "z").join(
-        neighbours.select("item_id", "neighbour", "similarity"), "neighbour"
-    )
-    unseen = _weighted(found, cells).join(
-        cells.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti"
-    )
+def recommend_unseen(cells: DataFrame, neighbours: DataFrame, n: int = 25, graph_rows: int = GRAPH_ROWS) -> DataFrame:
+    """The ``n`` best unseen items of each user, scored from item neighbours.
+
+    The neighbour lists get an edge from every item to itself, without a similarity: a sum that holds
+    such an edge belongs to an item the user has rated. Lists of up to ``graph_rows`` edges are
+    broadcast, so only the ratings are shuffled, once, by user: what a hub item multiplies is summed,
+    compared and cut to ``n`` in the user's own partition. Longer lists are joined by a shuffle.
+    """
+    own = cells.select("item_id").distinct().select("item_id", F.col("item_id").alias("neighbour"),
+                                                    F.lit(None).cast("double").alias("similarity"))
+    graph = materialise(neighbours.select("item_id", "neighbour", "similarity").unionByName(own), "graph")
+    rated = cells.select("user_id", F.col("item_id").alias("neighbour"), "z", "user_mean", "user_sd")
+    if graph.count() <= graph_rows:
+        rated, graph = rated.repartition("user_id"), F.broadcast(graph)
+    unseen = rated.join(graph, "neighbour").groupBy("user_id", "item_id").agg(
+        (F.sum(F.col("similarity") * F.col("z")) / F.sum("similarity")).alias("score"),
+        F.max(F.col("similarity").isNull()).alias("seen"),
+        F.first("user_mean").alias("user_mean"), F.first("user_sd").alias("user_sd"),
+    ).filter("NOT seen").select(
+        "user_id", "item_id", r6(F.col("user_mean") + F.col("user_sd") * F.col("score")).alias("prediction"))
     order = Window.partitionBy("user_id").orderBy(F.desc("prediction"), "item_id")
     return unseen.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)

@@ -870,6 +870,13 @@ def _(spark, d):
     return summaries.rmse(model.transform(frame))
 
 
+@query("als_rank2_gradient")
+def _(spark, d):
+    frame, _new = _als_parts(spark, d)
+    model = factor.fit_als(factor.als(rank=2, reg=0.01, rounds=10), frame)
+    return factor.als_gradient(model, frame, 0.01)
+
+
 def _factor_parts(spark, d):
     """Training part and hold-out with seven factor scores per row."""
     numeric = [c for c in NUMERIC if c != "rating"]

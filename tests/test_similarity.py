@@ -1,10 +1,13 @@
 """Neighbours and predictions against brute force on small matrices."""
 
+import re
+
 import numpy as np
 import pytest
 
 from marquee.operators import similarity as S
 from marquee.operators.reshape import user_item_cells
+from marquee.session import materialise
 
 
 def ratings(seed=3, users=60, items=40, hot=True):
@@ -109,3 +112,31 @@ def test_recommendations_are_unseen_and_ranked(spark):
         per_user.setdefault(r.user_id, []).append((r["rank"], -r.prediction))
     assert per_user and all([x[0] for x in sorted(v)] == list(range(1, len(v) + 1)) for v in per_user.values())
     assert all([x[1] for x in sorted(v)] == sorted(x[1] for x in v) for v in per_user.values())
+
+
+@pytest.mark.parametrize("graph_rows", [10**6, 0])
+def test_recommendations_equal_brute_force_with_a_hub(spark, graph_rows):
+    """One item is rated by all and near to all others, so it meets every user's candidates."""
+    cells = materialise(frame(spark, ratings()), "cells")
+    z = {(r.user_id, r.item_id): (r.z, r.user_mean, r.user_sd) for r in cells.collect()}
+    items = sorted({i for _, i in z})
+    hub = items[0]
+    edges = [(i, hub, 0.5) for i in items[1:]] + [(i, items[-1 - k], 0.9 - k / 100) for k, i in enumerate(items) if i != items[-1 - k]]
+    edges = list({(a, b): (a, b, s) for a, b, s in edges}.values())
+    got = {}
+    out = S.recommend_unseen(cells, spark.createDataFrame(edges, "item_id long, neighbour long, similarity double"), 4, graph_rows)
+    for r in out.collect():
+        got.setdefault(r.user_id, []).append((r["rank"], r.item_id, r.prediction))
+    for u in {u for u, _ in z}:
+        sums = {}
+        for i, j, s in edges:
+            if (u, j) in z and (u, i) not in z:
+                a, b = sums.get(i, (0.0, 0.0))
+                sums[i] = a + s * z[u, j][0], b + s
+        _, mean, sd = next(v for (v_, _), v in z.items() if v_ == u)
+        want = sorted(((-round(mean + sd * a / b, 6), i) for i, (a, b) in sums.items()))[:4]
+        assert [(x[0], x[1]) for x in sorted(got.get(u, []))] == [(k + 1, i) for k, (_, i) in enumerate(want)]
+        assert [x[2] for x in sorted(got.get(u, []))] == pytest.approx([-p for p, _ in want], abs=2e-6)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # Sums leave the user's partition only if the lists are not broadcast.
+    assert bool(re.search(r"hashpartitioning\(user_id#\d+L?, item_id#", plan)) == (graph_rows == 0)
