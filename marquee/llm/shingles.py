@@ -1,6 +1,8 @@
 """Near duplicates by the Jaccard similarity of their sets of word shingles.
 
-Candidates meet by min-hashes: ``BANDS`` cells per set, each of ``ROWS`` minima. Two sets of similarity
+Candidates are the components of the SimHash operator: each is a cell, so whatever its fingerprints link
+is compared. A similarity of 0.8 is often more than its 4 bits away, so candidates also meet by min-hashes:
+``BANDS`` cells per set, each of ``ROWS`` minima. Two sets of similarity
 0.8 miss each other in all 32 cells with probability (1 - 0.8 ** 4) ** 32 = 5e-8, more similar ones
 more rarely. Every link is then decided by the exact similarity of the two sets of 64-bit shingle hashes.
 
@@ -24,6 +26,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from marquee.llm.common import prepare
 from marquee.llm.components import components
+from marquee.llm.simhash import near_groups
 from marquee.session import materialise
 
 WORDS, LEAST = 5, 0.8
@@ -32,6 +35,7 @@ SEED = 42
 BLOCK, BLOCK_BYTES = 2048, 8 << 20  # sets of one block of a cell
 SPOKES = 256  # sets that one task at a time compares with the smallest of their cell
 SLICE = 1 << 12  # shingles hashed at a time
+NO_WORDS = hashlib.blake2b(b"", digest_size=16).hexdigest()  # digest of the empty set
 _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 _LONGS = lambda *names: StructType([StructField(n, LongType()) for n in names])
 
@@ -170,6 +174,7 @@ def similar_groups(
 ) -> DataFrame:
     """(id_, root) for each row of ``docs``: its ``key``, a unique long, and the key of one row of its component.
 
+    Candidates are the rows that ``near_groups`` groups by their fingerprints, and those that share a min-hash cell.
     Rows are linked whose sets of shingles of ``words`` words have a Jaccard similarity of ``least`` or more;
     case A-Z and the kind of ASCII white space do not matter. Texts without words (null, empty, white
     space) are equal to each other and similar to no other. An empty table gives an empty result.
@@ -178,12 +183,18 @@ def similar_groups(
     texts = docs.select(F.col(key).alias("id_"), F.col("text").alias("text_"))
     signed = materialise(texts.mapInArrow(partial(_signed, words=words), "id_ long, digest binary, cells array<long>"), "signatures")
     same = materialise(signed.groupBy("digest").agg(F.min("id_").alias("first"), F.first("cells").alias("cells")), "sets")
-    placed = same.select(F.col("first").alias("id_"), F.explode("cells").alias("cell"))
+    firsts = materialise(
+        signed.select("id_", "digest").join(same.select(F.col("digest").alias("d_"), "first"), F.col("digest") == F.col("d_"))
+        .select("id_", "first", (F.col("digest") == F.unhex(F.lit(NO_WORDS))).alias("wordless")), "firsts")
+    # A set enters the components of all its rows: fingerprints count repeats, sets do not.
+    printed = near_groups(texts.select(F.col("id_").alias("doc_id"), F.col("text_").alias("text")))
+    close = firsts.where("NOT wordless").join(printed.select("doc_id", "component_id"), F.col("id_") == F.col("doc_id"))
+    grouped = materialise(close.select(F.col("first").alias("id_"), F.col("component_id").alias("cell")).distinct(), "grouped")
+    placed = same.select(F.col("first").alias("id_"), F.explode("cells").alias("cell")).unionAll(grouped)
     shared = materialise(placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("cell"), "cells")
     members = materialise(placed.join(shared, "cell").select("cell", "id_"), "members")
     wanted = materialise(members.select(F.col("id_").alias("w_")).distinct(), "wanted")
     chosen = texts.join(wanted, F.col("id_") == F.col("w_"), "left_semi")
     sets = materialise(chosen.mapInArrow(partial(_sets, words=words), "id_ long, size long, set_ binary"), "shingles")
     roots = components(similar_links(members, sets, least, block, block_bytes))
-    firsts = signed.select("id_", "digest").join(same.select(F.col("digest").alias("d_"), "first"), F.col("digest") == F.col("d_"))
     return firsts.join(roots, F.col("first") == F.col("node"), "left").select("id_", F.coalesce("root", "first").alias("root"))

@@ -5,12 +5,14 @@ import random
 from collections import Counter
 
 import corpus_pipeline
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+import xxhash
 from tiktoken.load import load_tiktoken_bpe
 
-from marquee.llm import decontaminate, quality, shingles
+from marquee.llm import decontaminate, quality, shingles, simhash
 from marquee.session import materialise
 
 RNG = random.Random(5)
@@ -204,3 +206,52 @@ def test_stages_on_empty_tables(spark, corpus, tmp_path):
     # Without labels or benchmark items nothing is known against a document.
     for stage in (corpus_pipeline.keep_quality, corpus_pipeline.drop_contaminated):
         assert stage(spark, full, str(tmp_path)).count() == full.count()
+
+
+# --- near copies that the fingerprints bring together --------------------------------------
+
+
+def apart_in_min_hashes(rng, n=3000):
+    """Two long texts, nearly equal, that share none of the 32 min-hash cells and differ in at most 4 fingerprint bits."""
+    words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    spans = np.array([xxhash.xxh64_intdigest(" ".join(words[i : i + 5]), shingles.SEED) for i in range(n - 4)], np.uint64)
+    own = np.unique(spans, return_index=True)
+    # Words whose change takes a minimum out of every cell.
+    mixed = own[0][:, None] * shingles._FACTORS
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= shingles._FACTORS[::-1]
+    places = own[1][mixed.argmin(0)].reshape(shingles.BANDS, shingles.ROWS)
+    whole, changed = set(range(shingles.BANDS)), []
+    while whole:
+        hit = {p: {b for b in whole if ((p - 4 <= places[b]) & (places[b] <= p)).any()} for p in range(n)}
+        changed.append(max(hit, key=lambda p: len(hit[p])))
+        whole -= hit[changed[-1]]
+    one = " ".join(words)
+    for trial in range(200):
+        other = " ".join(f"x{trial}y{i}" if i in changed else w for i, w in enumerate(words))
+        if (simhash.fingerprint(one) ^ simhash.fingerprint(other)).bit_count() <= simhash.RADIUS:
+            return one, other
+    raise AssertionError("no such pair")
+
+
+def test_near_copies_meet_by_their_fingerprints(spark):
+    rng = random.Random(9)
+    one, other = apart_in_min_hashes(rng)
+    assert not set(shingles.bands(shingles.shingles(one))) & set(shingles.bands(shingles.shingles(other)))
+    assert 0.9 < jaccard(shingle_set(one), shingle_set(other)) < 1
+    # Linked by fingerprints alone: a line repeated a hundred times with different ends, too far apart as sets.
+    line = "the same short line again and again "
+    ends = [line * 100 + " ".join(f"e{i}n{rng.randrange(999)}" for _ in range(40)) for i in range(5)]
+    assert all((simhash.fingerprint(ends[0]) ^ simhash.fingerprint(e)).bit_count() <= simhash.RADIUS for e in ends)
+    # A text with words whose fingerprint is within 4 bits of those without any.
+    words = (" ".join(f"q{rng.randrange(10**6)}" for _ in range(5)) for _ in range(200_000))
+    faint = next(w for w in words if simhash.fingerprint(w).bit_count() <= simhash.RADIUS)
+    texts = [other, *ends, None, faint, "", one, one + " " + one, faint.upper()]
+    rows = [(100 - i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()}
+    want, best = groups_of(texts), {}
+    for i, (doc, _) in enumerate(rows):
+        best[want[i]] = min(doc, best.get(want[i], doc))
+    assert want[texts.index(one)] == 0 and len(best) == 1 + len(ends) + 2
+    assert kept == set(best.values())
