@@ -31,7 +31,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (Jaccard similarity of five-word shingles 0.8 or more, and what
-    such links connect) the row with the smallest doc_id; null ids come last."""
+    such links connect) the row with the smallest doc_id; null ids come last. Candidates are the groups of
+    the SimHash operator and, for pairs beyond its 4 bits, min-hash cells; exact similarity decides."""
     rows, row = numbered(docs, "near")
     groups = shingles.similar_groups(rows, row)
     first = rows.select("doc_id", F.col(row).alias("at")).join(groups, F.col("at") == F.col("id_")).groupBy("root").agg(
