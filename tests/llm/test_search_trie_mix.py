@@ -71,6 +71,16 @@ def test_hard_negatives(spark, monkeypatch, small):
     assert hardneg.hard_negatives(table.limit(0)).count() == 0
 
 
+def test_few_rows_beyond_the_sample_reach_the_driver(spark):
+    total, n = 20_000, 50
+    rows = spark.range(0, total, 1, 64).select(F.col("id").alias("row"), F.array("id").alias("v"))
+    told = [r.v for r in rows.orderBy(F.xxhash64("row"), "row").limit(n).collect()]
+    assert [r.v for r in hardneg.least_hashed(rows, n, total)] == told
+    assert n <= hardneg.low_hashed(rows, 2 * n / total).count() <= 4 * n  # before: n of each of 64 tasks
+    assert [r.v for r in hardneg.least_hashed(rows, n, 100 * total)] == told  # too small a share is widened
+    assert len(hardneg.least_hashed(rows.limit(7), n, 7)) == 7 and hardneg.least_hashed(rows.limit(0), n, 0) == []
+
+
 def test_scores_beyond_doubles_and_longs(spark):
     big = [(0, [2.0**21, 2.0**20 + 1]), (1, [2.0**21, 3.0]), (2, [2.0**20, 5.0]), (3, [2.0**20 + 1, 7.0])]
     rows = [(i, v, i % 2 + (i == 0)) for i, v in big]
