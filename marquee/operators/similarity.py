@@ -6,12 +6,15 @@ of its ratings in shuffled rows, so the product is formed block by block: the
 compared side is cut into blocks of bounded size, the other side into chunks of
 bounded cell count, each task multiplies one chunk of two blocks in memory, and
 only the best ``k`` of each block row leave it. Nothing is dropped on the way, so the
-lists are exact.
+lists are exact. With many blocks such copies for every block pair would be most of the work; then
+the sparse products of ``marquee.operators.sparse`` take their place.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -21,15 +24,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.columns import r6
+from marquee.operators import sparse
 from marquee.operators.joins import lookup_with_default
-from marquee.session import materialise
+from marquee.session import materialise, new_path
 
 BLOCK = 2048          # compared rows per block: a block product is at most 32 MB
 CHUNK_CELLS = 2_000_000  # cells a single task reads for one block pair
 STEP = 4_000_000      # products formed at once inside a task
 BROADCAST_BLOCKS = 100_000
 GRAPH_ROWS = 1_000_000  # edges of neighbour lists that are broadcast, some 50 MB
-ALL_PARTNERS = 32     # up to this many blocks a list simply goes to every block pair
+ALL_PARTNERS = 8      # up to this many blocks a list simply goes to every block pair
+PASS_CELLS = 3.0      # rows of a pass of user-based predictions, as a multiple of the cells
+DENSE = 0.05          # share of all possible products from which blocks are multiplied as dense matrices
 
 
 def normalise(cells: DataFrame, method: str = "z-score") -> DataFrame:
@@ -38,16 +44,14 @@ def normalise(cells: DataFrame, method: str = "z-score") -> DataFrame:
     Users whose deviation is zero or undefined have no z-score and are left out.
     Adds ``user_mean``, ``user_sd`` and ``z``.
     """
-    stats = cells.groupBy("user_id").agg(
-        F.avg("rating").alias("user_mean"), F.stddev_samp("rating").alias("user_sd")
-    )
-    if method == "center":
-        stats = stats.withColumn("user_sd", F.lit(1.0))
-    else:
-        stats = stats.filter("user_sd > 1e-9")
-    return cells.join(stats, "user_id").withColumn(
-        "z", (F.col("rating") - F.col("user_mean")) / F.col("user_sd")
-    )
+    own = Window.partitionBy("user_id")
+    known = cells.filter("user_id IS NOT NULL").withColumns({
+        "user_mean": F.avg("rating").over(own),
+        "user_sd": F.lit(1.0) if method == "center" else F.stddev_samp("rating").over(own),
+    })
+    if method != "center":
+        known = known.filter("user_sd > 1e-9")
+    return known.withColumn("z", (F.col("rating") - F.col("user_mean")) / F.col("user_sd"))
 
 
 def _block_product(table: pa.Table, rows: int, cols: int, diagonal: bool) -> np.ndarray:
@@ -158,6 +162,23 @@ def _add_and_rank(key, batches: Iterator[pa.RecordBatch], k: int, width: int) ->
     yield _top_batch(b1, b2, product.reshape(width, width), k)
 
 
+def _from_lists(cells: DataFrame, norms: DataFrame, entity: str, other: str, k: int) -> DataFrame | None:
+    """The neighbours from stored lists, for many entities; None where so many products meet that dense blocks are better."""
+    spark = cells.sparkSession
+    members, total = sparse.ordered_codes(norms.filter(F.col(entity).isNotNull()).select(entity, "norm"), entity)
+    path = new_path(spark, "lists")
+    sparse.store_lists(cells.filter("__w IS NOT NULL").join(members, entity).select(
+        F.col(other).alias("other"), "code", (F.col("__w") / F.col("norm")).alias("w")), path)
+    work, rows, lists = sparse.count_products(spark, path, total)
+    if sum(work) > DENSE * lists * total * total:
+        return None
+    # Stored, so that the planner sees its size and the products are formed once.
+    best = materialise(sparse.top_products(spark, path, sparse.blocks_of(work, rows, total), total, k), "best")
+    ids = members.select(F.col(entity), "code")
+    neighbours = ids.select(F.col(entity).alias("neighbour"), F.col("code").alias("n_code"))
+    return best.join(neighbours, "n_code").join(ids, "code").select(entity, "neighbour", "similarity", "rank")
+
+
 def nearest_neighbours(
     cells: DataFrame, entity: str, other: str, k: int, weight: str = "z",
     block: int = BLOCK, chunk_cells: int = CHUNK_CELLS,
@@ -168,10 +189,14 @@ def nearest_neighbours(
     ``similarity`` (nine decimals) and ``rank``; ties go to the smaller id.
     """
     cells = cells.select(entity, other, F.col(weight).alias("__w"))
-    norms = cells.groupBy(entity).agg(
+    norms = materialise(cells.groupBy(entity).agg(
         F.sqrt(F.sum(F.col("__w") * F.col("__w"))).alias("norm"), F.count("*").alias("n")
-    ).filter("norm > 0")
+    ).filter("norm > 0"), "norms")
     blocks = max(1, -(-norms.count() // block))
+    if blocks > ALL_PARTNERS:
+        found = _from_lists(cells, norms, entity, other, k)
+        if found is not None:
+            return found
     members = materialise(
         norms.withColumn("block", F.pmod(F.xxhash64(entity), F.lit(blocks)).cast("int"))
         .withColumn(
@@ -191,16 +216,7 @@ def nearest_neighbours(
         .groupBy(F.col(other).alias("other"), "block")
         .agg(F.collect_list(F.struct("slot", (F.col("__w") / F.col("norm")).alias("w"))).alias("v"))
     )
-    if blocks <= ALL_PARTNERS:
-        partners = F.sequence(F.lit(0), F.lit(blocks - 1))
-    else:
-        # Only blocks that share a row of ``other`` can have a product. The list
-        # of them is one number per block, whatever the row holds.
-        met = (
-            cells.join(members.select(entity, "block"), entity)
-            .groupBy(F.col(other).alias("other")).agg(F.collect_set("block").alias("met"))
-        )
-        packed, partners = packed.join(met, "other"), F.col("met")
+    partners = F.sequence(F.lit(0), F.lit(blocks - 1))
     paired = packed.withColumn("partner", F.explode(partners)).select(
         F.least("block", "partner").alias("b1"), F.greatest("block", "partner").alias("b2"),
         (F.col("block") > F.col("partner")).cast("int").alias("side"), "other", "v",
@@ -246,14 +262,18 @@ def nearest_neighbours(
     )
 
 
-def _weighted(found: DataFrame, cells: DataFrame) -> DataFrame:
-    """Similarity-weighted mean of neighbour z-scores, back on the user's scale."""
+def _scores(found: DataFrame) -> DataFrame:
+    """Similarity-weighted mean of neighbour z-scores."""
+    return found.groupBy("user_id", "item_id").agg(
+        (F.sum(F.col("similarity") * F.col("z")) / F.sum("similarity")).alias("score")
+    )
+
+
+def _rescaled(scores: DataFrame, cells: DataFrame) -> DataFrame:
+    """Scores back on the user's scale."""
     users = cells.groupBy("user_id").agg(
         F.first("user_mean").alias("user_mean"), F.first("user_sd").alias("user_sd")
     )
-    scores = found.groupBy("user_id", "item_id").agg(
-        (F.sum(F.col("similarity") * F.col("z")) / F.sum("similarity")).alias("score")
-    )
     return scores.join(users, "user_id").select(
         "user_id", "item_id",
         r6(F.col("user_mean") + F.col("user_sd") * F.col("score")).alias("prediction"),
@@ -266,16 +286,33 @@ def predict_item_based(pairs: DataFrame, cells: DataFrame, neighbours: DataFrame
     found = wanted.join(neighbours.select("item_id", "neighbour", "similarity"), "item_id").join(
         cells.select("user_id", F.col("item_id").alias("neighbour"), "z"), ["user_id", "neighbour"]
     )
-    return lookup_with_default(pairs, _weighted(found, cells), ["user_id", "item_id"], "prediction", default)
+    return lookup_with_default(pairs, _rescaled(_scores(found), cells), ["user_id", "item_id"], "prediction", default)
 
 
-def predict_user_based(pairs: DataFrame, cells: DataFrame, neighbours: DataFrame, default: float = 1.0) -> DataFrame:
-    """Predict each (user, item) from what the user's neighbours gave the item."""
-    wanted = pairs.select("user_id", "item_id").distinct()
-    found = wanted.join(neighbours.select("user_id", "neighbour", "similarity"), "user_id").join(
-        cells.select(F.col("user_id").alias("neighbour"), "item_id", "z"), ["neighbour", "item_id"]
-    )
-    return lookup_with_default(pairs, _weighted(found, cells), ["user_id", "item_id"], "prediction", default)
+def predict_user_based(
+    pairs: DataFrame, cells: DataFrame, neighbours: DataFrame, default: float = 1.0, pass_cells: float = PASS_CELLS
+) -> DataFrame:
+    """Predict each (user, item) from what the user's neighbours gave the item.
+
+    Every wanted item meets every neighbour of its user. Where that is more than ``pass_cells`` times the
+    rows of ``cells``, users are taken in several passes, so that only a part of those rows is on disk at a time.
+    """
+    wanted = materialise(pairs.select("user_id", "item_id").distinct(), "wanted")
+    near = materialise(neighbours.select("user_id", "neighbour", "similarity"), "near")
+    rated = cells.select(F.col("user_id").alias("neighbour"), "item_id", "z")
+    meet = wanted.groupBy("user_id").agg(F.count("*").alias("a")).join(
+        near.groupBy("user_id").agg(F.count("*").alias("b")), "user_id").agg(F.sum(F.col("a") * F.col("b"))).first()[0] or 0
+    passes = max(1, math.ceil(meet / (pass_cells * max(1, cells.count()))))
+
+    def scores(users: DataFrame) -> DataFrame:
+        return _scores(users.join(near, "user_id").join(rated, ["neighbour", "item_id"]))
+
+    if passes == 1:
+        found = scores(wanted)
+    else:
+        place = F.pmod(F.xxhash64("user_id"), F.lit(passes))
+        found = reduce(DataFrame.unionByName, [materialise(scores(wanted.filter(place == p)), "scores") for p in range(passes)])
+    return lookup_with_default(pairs, _rescaled(found, cells), ["user_id", "item_id"], "prediction", default)
 
 
 def recommend_unseen(cells: DataFrame, neighbours: DataFrame, n: int = 25, graph_rows: int = GRAPH_ROWS) -> DataFrame:

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from marquee.operators import similarity as S
+from marquee.operators import sparse
 from marquee.operators.reshape import user_item_cells
 from marquee.session import materialise
 
@@ -69,6 +70,45 @@ def test_neighbours_equal_brute_force(spark, monkeypatch, block, chunk, step, sp
     assert {k: [x[1:] for x in sorted(v)] for k, v in got.items()} == want
 
 
+@pytest.mark.parametrize("products,cells,ranges", [
+    (4_000_000, 1 << 17, 1 << 16),  # one block, one chunk for each partition
+    (40, 16, 1 << 16),              # blocks of a row or a few, sums added up on the way, many chunks
+    (300, 50, 8),                   # ranges of several rows
+])
+@pytest.mark.parametrize("axis", [0, 1])
+def test_neighbours_from_lists_equal_brute_force(spark, monkeypatch, products, cells, ranges, axis):
+    for name, value in (("PRODUCTS", products), ("LIST_CELLS", cells), ("RANGES", ranges)):
+        monkeypatch.setattr(sparse, name, value)
+    monkeypatch.setattr(S, "ALL_PARTNERS", 1)
+    monkeypatch.setattr(S, "DENSE", 2.0)
+    rows = ratings()
+    entity, other = (("user_id", "item_id"), ("item_id", "user_id"))[axis]
+    near = S.nearest_neighbours(frame(spark, rows), entity, other, 4, block=8)
+    got = {}
+    for r in near.collect():
+        got.setdefault(r[entity], []).append((r["rank"], r.neighbour, round(r.similarity, 6)))
+    assert {k: [x[1:] for x in sorted(v)] for k, v in got.items()} == brute(rows, 4, axis)[0]
+    assert near.columns == [entity, "neighbour", "similarity", "rank"]
+
+
+def test_cells_of_many_entities_are_not_copied_to_block_pairs(spark, tmp_path, monkeypatch):
+    """Before, every list went to each block that its row has a cell in: here some 20 copies of each cell."""
+    rng = np.random.default_rng(1)
+    rows = [(f"u{u}", int(i), int(rng.integers(1, 6))) for u in range(300) for i in rng.choice(2000, 20, replace=False)]
+    cells = materialise(frame(spark, rows), "cells")
+    stored, sent = [], []
+    monkeypatch.setattr(sparse, "store_lists", lambda c, path, f=sparse.store_lists: (f(c, path), stored.append(path)))
+    monkeypatch.setattr(S, "materialise", lambda df, label, f=materialise: (out := f(df, label), sent.append((label, out.count())))[0])
+    near = S.nearest_neighbours(cells, "item_id", "user_id", 3, block=50)
+    want = brute(rows, 3, 1)[0]
+    got = {}
+    for r in near.collect():
+        got.setdefault(r.item_id, []).append((r["rank"], r.neighbour, round(r.similarity, 6)))
+    assert {k: [x[1:] for x in sorted(v)] for k, v in got.items()} == want
+    bytes_ = spark.read.parquet(stored[0]).selectExpr("sum(length(codes)) / 4 AS n").first().n
+    assert bytes_ == cells.count() and dict(sent)["best"] == sum(map(len, want.values()))
+
+
 def test_flat_user_is_left_out(spark):
     cells = frame(spark, ratings())
     assert cells.filter("user_id = 'flat'").count() == 0
@@ -102,6 +142,14 @@ def test_predictions_equal_brute_force(spark, axis):
         assert got[u, i] == pytest.approx(want, abs=2e-5)
 
 
+def test_user_based_predictions_in_passes_are_those_of_one_pass(spark):
+    cells = materialise(frame(spark, ratings()), "cells")
+    near = materialise(S.nearest_neighbours(cells, "user_id", "item_id", 5), "near")
+    pairs = spark.createDataFrame([(f"u{u}", i) for u in range(30) for i in range(20)] + [("nobody", 1)], "user_id string, item_id long")
+    told = [{(r.user_id, r.item_id): r.prediction for r in S.predict_user_based(pairs, cells, near, pass_cells=p).collect()} for p in (1e9, 0.5)]
+    assert told[0] == told[1] and len(told[0]) == 601 and len(set(told[0].values())) > 100
+
+
 def test_recommendations_are_unseen_and_ranked(spark):
     cells = frame(spark, ratings())
     nb = S.nearest_neighbours(cells, "item_id", "user_id", 5)
