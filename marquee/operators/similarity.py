@@ -281,12 +281,16 @@ def _rescaled(scores: DataFrame, cells: DataFrame) -> DataFrame:
 
 
 def predict_item_based(pairs: DataFrame, cells: DataFrame, neighbours: DataFrame, default: float = 1.0) -> DataFrame:
-    """Predict each (user, item) from the user's ratings of the item's neighbours."""
+    """Predict each (user, item) from the user's ratings of the item's neighbours.
+
+    Pairs and scores are stored, so the shuffle files of each step are gone before the next one writes its own.
+    """
+    pairs = materialise(pairs, "pairs")
     wanted = pairs.select("user_id", "item_id").distinct()
     found = wanted.join(neighbours.select("item_id", "neighbour", "similarity"), "item_id").join(
         cells.select("user_id", F.col("item_id").alias("neighbour"), "z"), ["user_id", "neighbour"]
     )
-    return lookup_with_default(pairs, _rescaled(_scores(found), cells), ["user_id", "item_id"], "prediction", default)
+    return lookup_with_default(pairs, _rescaled(materialise(_scores(found), "scores"), cells), ["user_id", "item_id"], "prediction", default)
 
 
 def predict_user_based(
@@ -297,6 +301,7 @@ def predict_user_based(
     Every wanted item meets every neighbour of its user. Where that is more than ``pass_cells`` times the
     rows of ``cells``, users are taken in several passes, so that only a part of those rows is on disk at a time.
     """
+    pairs = materialise(pairs, "pairs")
     wanted = materialise(pairs.select("user_id", "item_id").distinct(), "wanted")
     near = materialise(neighbours.select("user_id", "neighbour", "similarity"), "near")
     rated = cells.select(F.col("user_id").alias("neighbour"), "item_id", "z")
@@ -307,11 +312,8 @@ def predict_user_based(
     def scores(users: DataFrame) -> DataFrame:
         return _scores(users.join(near, "user_id").join(rated, ["neighbour", "item_id"]))
 
-    if passes == 1:
-        found = scores(wanted)
-    else:
-        place = F.pmod(F.xxhash64("user_id"), F.lit(passes))
-        found = reduce(DataFrame.unionByName, [materialise(scores(wanted.filter(place == p)), "scores") for p in range(passes)])
+    place = F.pmod(F.xxhash64("user_id"), F.lit(passes))
+    found = reduce(DataFrame.unionByName, [materialise(scores(wanted.filter(place == p)), "scores") for p in range(passes)])
     return lookup_with_default(pairs, _rescaled(found, cells), ["user_id", "item_id"], "prediction", default)
 
 
