@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from marquee.functions.columns import clamp_rating
 from marquee.operators import profile, quantiles, resample, reshape, summaries
-from marquee.session import new_path, work_dir
+from marquee.plans import features
+from marquee.session import materialise, new_path, work_dir
 from marquee.sources.files import read_csv, write_csv
 
 
@@ -62,3 +63,22 @@ def test_preset_checkpoint_folder_is_used(spark):
     work_dir(spark)
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     assert work_dir(spark) == folder.rstrip("/")
+
+
+def test_joins_by_user_and_by_item_have_narrow_rows_and_one_is_stored(spark, monkeypatch):
+    """Before, genre flags went through the joins by user and item, and both joins' shuffles were on disk at once."""
+    values = {
+        "rating_id": "string(id)", "user_id": "if(id % 11 = 0, NULL, string(id % 7))", "item_id": "id % 13", "rating": "int(id * id % 5) + 1",
+        "is_test": "id % 5 = 0", "age": "int(id % 7) * 9", "age_band": "if(id % 7 < 3, 'a', 'b')", "gender": "if(id % 2 = 0, 'M', NULL)",
+        "occupation": "string(id % 3)", "hour": "int(id % 4)", "item_imdb_length": "if(id % 13 = 4, NULL, int(id % 13 % 3))",
+        "item_imdb_mature_rating": "string(id % 13 % 2)", "release_month": "int(id % 12)", "item_length_band": "string(id % 13 % 3)",
+    }
+    rows = materialise(spark.range(300).selectExpr(*[
+        f"{values.get(c, 'id % 13 % 2 = 1')} AS {c}" for c in features.FEATURE_INPUT]), "rows")
+    want = {tuple(r) for r in features.feature_table(rows).collect()}
+    stored = {}
+    monkeypatch.setattr(features, "LARGE", 0)
+    monkeypatch.setattr(features, "materialise", lambda df, label, f=features.materialise: stored.setdefault(label, f(df, label)))
+    assert {tuple(r) for r in features.feature_table(rows).collect()} == want and want
+    kept = stored["users-joined"].columns
+    assert "user_mean_rating" in kept and "action" not in kept and len(kept) == len(set(kept))
