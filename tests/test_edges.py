@@ -1,6 +1,7 @@
 """Inputs that the fixture does not contain."""
 
 import math
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,6 +66,20 @@ def test_preset_checkpoint_folder_is_used(spark):
     assert work_dir(spark) == folder.rstrip("/")
 
 
+def test_storing_a_table_gives_up_its_shuffle_files(spark):
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffles()
+    spark.sparkContext._marquee_forgot = float("-inf")
+    kept = materialise(spark.range(1000).repartition(3, "id"), "gone")
+    until = time.monotonic() + 10
+    while shuffles() - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not shuffles() - before and kept.count() == 1000
+
+
 def test_joins_by_user_and_by_item_have_narrow_rows_and_one_is_stored(spark, monkeypatch):
     """Before, genre flags went through the joins by user and item, and both joins' shuffles were on disk at once."""
     values = {
